@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# What stands for a missing value.
+STAND_INS = ("", "n/a", "na", "none", "null", "nan", "unknown", "-", "?")
+
 # The spellings of the three splits.
 SPLIT_SPELLINGS = {
     "train": "train", "training": "train", "tr": "train",
@@ -41,3 +44,9 @@ def whole_number(c: Column) -> Column:
     """
     digits = F.regexp_extract(squeezed(c), r"^\+?0*(\d+?)(?:\.0*)?$", 1)
     return F.nullif(digits, F.lit(""))
+
+
+def image_number(c: Column) -> Column:
+    """A source image's id: its whole number however written, else its text without stand-ins for missing values."""
+    text = squeezed(c)
+    return F.coalesce(whole_number(c), F.when(~text.isin(*STAND_INS) & ~text.rlike(r"^-\d+$"), F.trim(c)))
