@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from boxlake.llm import q_pictures
+from boxlake.llm import q_pictures, q_survivors
 
-_MODULES = (q_pictures,)
+_MODULES = (q_pictures, q_survivors)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
