@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from boxlake.llm import q_groups, q_pictures, q_survivors
+from boxlake.llm import q_groups, q_leaks, q_pictures, q_survivors
 
-_MODULES = (q_pictures, q_survivors, q_groups)
+_MODULES = (q_pictures, q_survivors, q_groups, q_leaks)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
