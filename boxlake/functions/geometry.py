@@ -7,13 +7,8 @@ times: give long derivations a column of their own (withColumn) before passing t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 #: Tolerance of the merge's extent check, of the within-image check, and the largest float32.
 GEOMETRY_EPSILON, WITHIN_EPSILON, FLOAT32_MAX = 1e-3, 1e-6, 3.4028234663852886e38
@@ -121,25 +116,6 @@ def apply_policy(b: Column, width: Column, height: Column, policy: str) -> Colum
     return F.when(b.isNull() | no_area(b), bad).when(out_of_bounds(b, width, height), outside).when(has_nan(b), fail("box is not a number")).otherwise(b)
 
 
-def _extent(start: pd.Series, extent: pd.Series, limit: pd.Series) -> np.ndarray:
-    """float32 extents shrunk by at most the tolerance so that start + extent stays within limit; NaN where too far."""
-    s, e, top = start.to_numpy(np.float64), extent.to_numpy(np.float64), limit.to_numpy(np.float64)
-    shrunk = (top - s).astype(np.float32)
-    over = s + shrunk.astype(np.float64) > top
-    while over.any():
-        shrunk = np.where(over, np.nextafter(shrunk, np.float32(0)), shrunk)
-        over = (s + shrunk.astype(np.float64) > top) & (shrunk > 0)
-    out = np.where(s + e <= top, e, shrunk.astype(np.float64))
-    return np.where((s + e > top + GEOMETRY_EPSILON) | (out <= 0), np.nan, out)
-
-
-@F.pandas_udf(T.DoubleType())
-def shrink_extent(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """The extent of a float32 box that reaches over its image by rounding only."""
-    for start, extent, limit in parts:
-        yield pd.Series(_extent(start, extent, limit))
-
-
 def _single(v: Column) -> Column:
     return v.cast("float").cast("double")
 
@@ -154,20 +130,20 @@ def checked_status(b: Column, width: Column, height: Column) -> Column:
     return F.when(b.isNull(), "arity").when(~ok, "not_finite").when(bad, "invalid").when(far, "exceeds")
 
 
-def checked(b: Column, width: Column, height: Column) -> Column:
-    """The box as float32 values within its image; null where checked_status() gives a reason.
+def _fitted(start: Column, extent: Column, limit: Column) -> Column:
+    """A float32 extent that reaches over limit by rounding only, shrunk to the largest float32 that does not."""
+    near = _single(limit - start)
+    # The spacing of float32 values below `near`; halves and quarters of it cover a binade's edge.
+    step = F.pow(F.lit(2.0), F.floor(F.log2(near)) - 23)
+    tries = [_single(near - step * k) for k in (0.0, 0.25, 0.5, 1.0, 2.0)]
+    return F.when(start + extent <= limit, extent).otherwise(F.coalesce(*[F.when((start + t <= limit) & (t > 0), t) for t in tries]))
 
-    Only boxes that reach over the image by rounding go through the Arrow function that steps to the next float32
-    below; all others stay in generated code.
-    """
-    x, y, w, h = (_single(b[n]) for n in "xywh")
-
-    def fit(start: Column, extent: Column, limit: Column) -> Column:
-        over = (start + extent > limit) & (start + extent <= limit + F.lit(GEOMETRY_EPSILON))
-        stepped = shrink_extent(F.when(over, start), F.when(over, extent), F.when(over, limit.cast("double")))
-        return F.when(over, stepped).otherwise(extent)
 
-    return F.when(checked_status(b, width, height).isNull(), box(x, y, fit(x, w, width), fit(y, h, height)))
+def checked(b: Column, width: Column, height: Column) -> Column:
+    """The box as float32 values within its image; null where checked_status() gives a reason."""
+    x, y, w, h = (_single(b[n]) for n in "xywh")
+    fw, fh = _fitted(x, w, width.cast("double")), _fitted(y, h, height.cast("double"))
+    return F.when(checked_status(b, width, height).isNull() & fw.isNotNull() & fh.isNotNull(), box(x, y, fw, fh))
 
 
 def resize_plan(width: Column, height: Column, mode: str, target: tuple[int, int], longest: int | None = None) -> Column:

@@ -6,19 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.queries.registry import registry
 from boxlake.runtime import table
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(name: str, sql: str | None = None):
-    def add(f):
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return add
+QUERIES, ORACLES, query = registry()
 
 
 def _boxes(spark: SparkSession, folder: str) -> DataFrame:
