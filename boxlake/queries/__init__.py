@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from boxlake.queries import boxes, merging, nested
+from boxlake.queries import boxes, merging, nested, training
 
-_MODULES = (nested, boxes, merging)
+_MODULES = (nested, boxes, merging, training)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
