@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from boxlake.queries import boxes, merging, nested, training
+from boxlake.queries import boxes, merging, nested, sourcing, training
 
-_MODULES = (nested, boxes, merging, training)
+_MODULES = (nested, boxes, merging, sourcing, training)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
-FLAGSHIP = "p2_found"
+FLAGSHIP = "a1_import_stats"
