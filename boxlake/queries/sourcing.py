@@ -11,7 +11,7 @@ from boxlake.queries.registry import registry
 from boxlake.runtime import table
 from boxlake.sources import formats as X
 from boxlake.sources.config import SourceConfig
-from boxlake.sources.ingest import ingest
+from boxlake.sources.ingest import ingest, judge, statistics
 
 QUERIES, ORACLES, query = registry()
 
@@ -124,12 +124,8 @@ def import_stats(spark, folder):
     images = orders.select(k.alias("k"), split.alias("split"), (320 + 40 * (k % 9)).cast("int").alias("width"), (240 + 30 * (k % 7)).cast("int").alias("height"))
     objects = b.groupBy("k").agg(F.collect_list(X.raw(F.col("lab"), _code(F.col("lab")), F.col("b"))).alias("raw"))
     pics = images.join(objects, "k", "left").withColumn("source_id", F.col("k").cast("string")).withColumn("image_path", F.concat(F.lit("p/"), "k"))
-    out = None
-    for name in ("train", "val", "test"):
-        cfg = SourceConfig.of({"key": "bridge", "source_format": "coco", "splits": {name: {"root": "/"}}, "class_map": {"NF": "car", "NO": "truck", "RF": "bus"}, "ignore_labels": ["RF"]})
-        stats = ingest(pics.filter(F.col("split") == name), cfg, name)[1].withColumn("split", F.lit(name))
-        out = stats if out is None else out.unionByName(stats)
-    return out
+    cfg = SourceConfig.of({"key": "bridge", "source_format": "coco", "splits": {"train": {"root": "/"}}, "class_map": {"NF": "car", "NO": "truck", "RF": "bus"}, "ignore_labels": ["RF"]})
+    return statistics(judge(pics, cfg), ("split",))
 
 
 @query("proj6_records", f"with {BRIDGE}, {_JUDGED} select 'bridge:train:'||k image_id, kept::bigint n_objects from p where split = 'train' and kept > 0")
