@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_OBJECT = "array<struct<bbox:array<float>,native_label:string,native_label_id:string,meta_label:string,ignore:boolean,iscrowd:boolean,meta_json:string>>"
-CANONICAL_DDL = (
-    "image struct<bytes:binary,path:string>, image_id string, dataset string, split string, image_path string, width int, height int, "
-    f"condition string, domain string, is_synthetic boolean, objects {_OBJECT}, meta_json string"
-)
-CANONICAL = T.StructType.fromDDL(CANONICAL_DDL)
+_S, _I, _B = T.StringType(), T.IntegerType(), T.BooleanType()
+
+
+def _struct(**kinds: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(k, v) for k, v in kinds.items()])
+
+
+OBJECT = _struct(bbox=T.ArrayType(T.FloatType()), native_label=_S, native_label_id=_S, meta_label=_S, ignore=_B, iscrowd=_B, meta_json=_S)
+CANONICAL = _struct(
+    image=_struct(bytes=T.BinaryType(), path=_S), image_id=_S, dataset=_S, split=_S, image_path=_S, width=_I, height=_I, condition=_S, domain=_S, is_synthetic=_B, objects=T.ArrayType(OBJECT), meta_json=_S
+)
 
 # The classes of the merged data, the splits in their order and by protection, the sources.
 FINAL_CLASSES = ("person", "bicycle", "motorcycle", "car", "bus", "truck")

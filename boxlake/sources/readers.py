@@ -45,7 +45,7 @@ def pictures(spark: SparkSession, folder: str, pattern: str = "*", suffixes: tup
 def texts(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
     """(name, stem, value) of whole text files."""
     _exists(spark, folder)
-    t = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).text(folder)
+    t = spark.read.text(folder, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=True)
     t = t.select(_name(F.input_file_name()).alias("name"), "value")
     return t.withColumn("stem", _stem(F.col("name")))
 
@@ -62,7 +62,7 @@ def coco(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     """COCO JSON; a picture whose size contradicts the file is skipped, a missing picture raises."""
     s = cfg.split(split)
     _exists(spark, s.path("annotations"))
-    images, notes, cats = X.coco_tables(spark.read.option("wholetext", "true").text(s.path("annotations")))
+    images, notes, cats = X.coco_tables(spark.read.text(s.path("annotations"), wholetext=True))
     objects = X.coco_objects(notes, cats)
     files = pictures(spark, s.path("images")).select(F.col("rel").alias("file_name"), "image_path", "content", "width", "height")
     own = images.select(F.col("id").alias("source_id"), "file_name", F.col("width").alias("jw"), F.col("height").alias("jh"))
@@ -80,7 +80,7 @@ def bdd100k(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     """Scalabel JSON; the condition is the frame's weather, else the source's default, the domain is the road."""
     s = cfg.split(split)
     _exists(spark, s.path("annotations"))
-    frames = X.scalabel_frames(spark.read.option("wholetext", "true").text(s.path("annotations")))
+    frames = X.scalabel_frames(spark.read.text(s.path("annotations"), wholetext=True))
     files = pictures(spark, s.path("images")).select(F.col("rel").alias("source_id"), "image_path", "content", "width", "height")
     df = frames.join(files, "source_id", "left")
     missing = F.raise_error(F.concat(F.lit("missing picture "), F.col("source_id"))).cast("string")
