@@ -50,7 +50,7 @@ def _webp(data: bytes) -> tuple[int, int] | None:
 def _jpeg(data: bytes) -> tuple[int, int] | None:
     """The size in the first start-of-frame segment."""
     at = 2
-    while at + 9 < len(data):
+    while at + 9 <= len(data):
         if data[at] != 0xFF:
             at += 1
             continue
