@@ -8,7 +8,7 @@ import unicodedata
 from itertools import accumulate
 from urllib.parse import unquote
 
-_ESCAPE = re.compile(r"\\+(?:u\{?([0-9a-fA-F]{4,6})\}?|x([0-9a-fA-F]{2})|[nrtbfv]|[\"'/])|\\+")
+_ESCAPE = re.compile(r"\\+(?:u([0-9a-fA-F]{4})|u\{([0-9a-fA-F]{1,6})\}|x([0-9a-fA-F]{2})|[nrtbfv]|[\"'/])|\\+")
 _TAG = re.compile(r"<[/!?]?[a-zA-Z!?/-][^<>]{0,400}>")
 _QUOTED_LINE = re.compile(r"=\r?\n")
 _PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
@@ -22,7 +22,7 @@ _PLAIN = re.compile(r"[\x00-\x7f]*")
 
 
 def _escaped(m: re.Match) -> str:
-    code = m[1] or m[2]
+    code = m[1] or m[2] or m[3]
     if not code:
         return " "
     n = int(code, 16)
