@@ -7,6 +7,8 @@ times: give long derivations a column of their own (withColumn) before passing t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ GEOMETRY_EPSILON, WITHIN_EPSILON, FLOAT32_MAX = 1e-3, 1e-6, 3.4028234663852886e3
 BOX = "struct<x:double,y:double,w:double,h:double>"
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """then(value) with the value computed once, however often `then` names it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def box(x: Column, y: Column, w: Column, h: Column) -> Column:
     return F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), w.cast("double").alias("w"), h.cast("double").alias("h"))
 

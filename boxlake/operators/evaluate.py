@@ -45,29 +45,29 @@ def match(boxes: np.ndarray, objects: np.ndarray, crowd: np.ndarray) -> tuple[np
         over = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
     matched, ignored = np.zeros((n, _BITS), bool), np.zeros((n, _BITS), bool)
     counted = np.zeros(len(AREAS), np.int64)
+    # Only objects that overlap enough for the lowest threshold can ever be taken.
+    near = [np.flatnonzero(over[d] >= OVERLAPS[0] - 1e-9) for d in range(n)]
     for a, (lo, hi) in enumerate(AREAS.values()):
         off = crowd | (area_g < lo) | (area_g > hi)
         counted[a] = int((~off).sum())
-        order = np.argsort(off, kind="stable")
         outside = (area_d < lo) | (area_d > hi)
+        first = a * len(OVERLAPS)
+        ignored[:, first : first + len(OVERLAPS)] = outside[:, None]
+        tries = [(d, [(int(g), bool(off[g]), float(over[d, g])) for g in sorted(near[d], key=lambda g: (off[g], g))]) for d in range(n) if len(near[d])]
         for t, threshold in enumerate(OVERLAPS):
-            used = np.zeros(m, bool)
-            bit = a * len(OVERLAPS) + t
-            for d in range(n):
-                best, found = min(threshold, 1 - 1e-10), -1
-                for g in order:
-                    if used[g] and not crowd[g]:
+            used: set[int] = set()
+            for d, candidates in tries:
+                best, found, found_off = min(threshold, 1 - 1e-10), -1, False
+                for g, g_off, v in candidates:
+                    if g in used and not crowd[g]:
                         continue
-                    if found >= 0 and not off[found] and off[g]:
+                    if found >= 0 and not found_off and g_off:
                         break
-                    if over[d, g] < best:
-                        continue
-                    best, found = over[d, g], g
+                    if v >= best:
+                        best, found, found_off = v, g, g_off
                 if found >= 0:
-                    used[found] = True
-                    matched[d, bit], ignored[d, bit] = True, off[found]
-                else:
-                    ignored[d, bit] = outside[d]
+                    used.add(found)
+                    matched[d, first + t], ignored[d, first + t] = True, found_off
     return matched, ignored, counted
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.runtime import written
 
 RAW = f"struct<label:string,label_id:string,b:{G.BOX},known:boolean,ignore:boolean,iscrowd:boolean,meta_json:string>"
 
@@ -49,16 +50,21 @@ def raw(label: Column, label_id: Column, b: Column, known: Column | None = None,
 
 def visdrone_line(line: Column) -> Column:
     """A raw object of 'x,y,w,h,score,class,truncation,occlusion'; null for a line that is skipped."""
-    part = F.split(F.trim(line), ",")
-    at = lambda i: F.get(part, F.lit(i))
-    box = [number(at(i)) for i in range(4)]
-    score, code, cut, hidden = (integer(at(i)) for i in range(4, 8))
-    name = lookup(code, VISDRONE_CLASSES)
-    ok = (F.size(part) == 8) & name.isNotNull() & score.isNotNull() & cut.isNotNull() & hidden.isNotNull()
-    for v in box:
-        ok = ok & v.isNotNull()
-    meta = F.to_json(F.struct(hidden.alias("occlusion"), score.alias("score"), cut.alias("truncation")))
-    return F.when(ok, raw(name, code, G.box(*box), ignore=(score == 0) | code.isin(*VISDRONE_IGNORED), meta=meta))
+
+    def read(part: Column) -> Column:
+        at = lambda i: F.get(part, F.lit(i))
+        fields = F.struct(*[number(at(i)).alias(c) for i, c in enumerate("xywh")], *[integer(at(i)).alias(c) for i, c in enumerate(("score", "code", "cut", "hidden"), 4)])
+        return F.when(F.size(part) == 8, G.let(fields, made))
+
+    def made(f: Column) -> Column:
+        name = lookup(f["code"], VISDRONE_CLASSES)
+        ok = name.isNotNull()
+        for c in ("x", "y", "w", "h", "score", "cut", "hidden"):
+            ok = ok & f[c].isNotNull()
+        meta = F.to_json(F.struct(f["hidden"].alias("occlusion"), f["score"].alias("score"), f["cut"].alias("truncation")))
+        return F.when(ok, raw(name, f["code"], G.box(f["x"], f["y"], f["w"], f["h"]), ignore=(f["score"] == 0) | f["code"].isin(*VISDRONE_IGNORED), meta=meta))
+
+    return G.let(F.split(F.trim(line), ","), read)
 
 
 def yolo_line(line: Column, width: Column, height: Column, names: dict[int, str]) -> Column:
@@ -66,34 +72,41 @@ def yolo_line(line: Column, width: Column, height: Column, names: dict[int, str]
 
     The class is tested before the coordinates: an unknown class is counted as such even if they are unreadable.
     """
-    part = F.split(F.trim(line), r"\s+")
-    code = integer(F.get(part, F.lit(0)))
-    name = lookup(code, names)
-    values = F.transform(F.slice(part, 2, 100_000), lambda v: number(v))
-    n = F.size(values)
-    fine = ~F.exists(values, lambda v: v.isNull())
-    at = lambda i: F.get(values, F.lit(i))
-    plain = G.from_normalised_centre(at(0), at(1), at(2), at(3), width, height)
-    xs, ys = F.filter(values, lambda v, i: i % 2 == 0), F.filter(values, lambda v, i: i % 2 == 1)
-    shape = G.from_corners(F.array_min(xs) * width, F.array_min(ys) * height, F.array_max(xs) * width, F.array_max(ys) * height)
-    box = F.when(n == 4, plain).when((n > 4) & (n % 2 == 0), shape)
-    kind = F.when(n == 4, "box").otherwise("polygon")
-    known = F.when(fine & box.isNotNull(), raw(name, code, box, meta=F.to_json(F.struct(kind.alias("source_annotation_kind")))))
-    return F.when((F.trim(line) == "") | code.isNull(), F.lit(None).cast(RAW)).when(name.isNull(), raw(code.cast("string"), code, F.lit(None).cast(G.BOX), known=F.lit(False))).otherwise(known)
+
+    def read(part: Column) -> Column:
+        fields = F.struct(integer(F.get(part, F.lit(0))).alias("code"), F.transform(F.slice(part, 2, 100_000), number).alias("v"))
+        return F.when(F.get(part, F.lit(0)) != "", G.let(fields, made))
+
+    def made(f: Column) -> Column:
+        code, values, n = f["code"], f["v"], F.size(f["v"])
+        name = lookup(code, names)
+        at = lambda i: F.get(values, F.lit(i))
+        plain = G.from_normalised_centre(at(0), at(1), at(2), at(3), width, height)
+        side = lambda odd, least, size: (F.array_min if least else F.array_max)(F.filter(values, lambda v, i: i % 2 == odd)) * size
+        shape = G.from_corners(side(0, True, width), side(1, True, height), side(0, False, width), side(1, False, height))
+        fine = ((n == 4) | ((n > 4) & (n % 2 == 0))) & ~F.exists(values, lambda v: v.isNull())
+        kind = F.when(n == 4, "box").otherwise("polygon")
+        known = F.when(fine, raw(name, code, F.when(n == 4, plain).otherwise(shape), meta=F.to_json(F.struct(kind.alias("source_annotation_kind")))))
+        return F.when(code.isNull(), F.lit(None)).when(name.isNull(), raw(code.cast("string"), code, F.lit(None).cast(G.BOX), known=F.lit(False))).otherwise(known)
+
+    return G.let(F.split(F.trim(line), r"\s+"), read)
 
 
 def exdark_line(line: Column) -> Column:
     """A raw object of 'label x y w h …'; null for comments and short or unreadable lines."""
-    part = F.split(F.trim(line), r"\s+")
-    at = lambda i: F.get(part, F.lit(i))
-    box = [number(at(i)) for i in range(1, 5)]
-    ok = ~F.trim(line).startswith("%") & (F.size(part) >= 5)
-    for v in box:
-        ok = ok & v.isNotNull()
-    code = F.lit(None).cast("int")
-    for k, name in EXDARK_CLASSES.items():
-        code = F.when(at(0) == name, F.lit(k)).otherwise(code)
-    return F.when(ok, raw(at(0), code, G.box(*box), known=code.isNotNull()))
+
+    def read(part: Column) -> Column:
+        fields = F.struct(F.get(part, F.lit(0)).alias("label"), *[number(F.get(part, F.lit(i))).alias(c) for i, c in enumerate("xywh", 1)])
+        return F.when((F.size(part) >= 5) & ~F.get(part, F.lit(0)).startswith("%"), G.let(fields, made))
+
+    def made(f: Column) -> Column:
+        code = F.lit(None).cast("int")
+        for k, name in EXDARK_CLASSES.items():
+            code = F.when(f["label"] == name, F.lit(k)).otherwise(code)
+        ok = f["x"].isNotNull() & f["y"].isNotNull() & f["w"].isNotNull() & f["h"].isNotNull()
+        return F.when(ok, raw(f["label"], code, G.box(f["x"], f["y"], f["w"], f["h"]), known=code.isNotNull()))
+
+    return G.let(F.split(F.trim(line), r"\s+"), read)
 
 
 def exdark_list_line(line: Column) -> Column:
@@ -120,7 +133,7 @@ def _truthy(c: Column) -> Column:
 
 def coco_tables(doc: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
     """(images, annotations, categories) of COCO JSON documents, keyed by string ids; positions keep the file's order."""
-    d = doc.select(F.from_json(column, COCO).alias("d"))
+    d = written(doc.select(F.from_json(column, COCO).alias("d")), "coco")  # parsed once for the three tables
     images = d.select(F.posexplode("d.images").alias("pos", "i")).select("pos", "i.*")
     notes = d.select(F.posexplode("d.annotations").alias("pos", "a")).select("pos", "a.*").withColumn("iscrowd", _truthy(F.col("iscrowd"))).withColumn("ignore", _truthy(F.col("ignore")))
     # The last of several categories with one id counts.
