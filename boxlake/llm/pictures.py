@@ -136,6 +136,23 @@ def _scan(evals: pa.Table, trains: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(r, f.type) for r, f in zip(rows, out, strict=True)], schema=out)
 
 
+def _cut(evals: DataFrame, trains: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the cell (e, t) of their shard in which they meet.
+
+    A shard that holds far more than SHARD_ROWS, as when very many pictures share a passage, is cut into a grid: each
+    passage goes to one row of cells and each part of a text to one column, so every pair still meets exactly once and
+    no task gets more than a cell. Other shards are one cell.
+    """
+    count = lambda df, name: df.groupBy("shard").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias(name))
+    grid = count(evals, "ke").join(count(trains, "kt"), "shard").filter("ke + kt > 4")
+    grid = written(grid, "grid")  # at most one row per 120,000 passages; small enough to be broadcast, or joined if not
+    side = lambda df: df.join(grid, "shard", "left").withColumns({"ke": F.coalesce("ke", F.lit(1)), "kt": F.coalesce("kt", F.lit(1))})
+    own = lambda n: F.pmod(F.xxhash64("class_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keep = ["shard", "block", "passage", "class_id", "e", "t"]
+    return side(evals).withColumn("e", own("ke")).withColumn("t", every("kt")).select(*keep), side(trains).withColumn("t", own("kt")).withColumn("e", every("ke")).select(*keep)
+
+
 def near_pairs(classes: DataFrame, least: float = SAME) -> DataFrame:
     """(eval_id, train_id, coverage, correlation) of different classes whose pictures correlate by `least` or more.
 
@@ -144,9 +161,11 @@ def near_pairs(classes: DataFrame, least: float = SAME) -> DataFrame:
     """
     spark = classes.sparkSession
     shards = max(spark.sparkContext.defaultParallelism, -(-classes.count() * (CELLS[0] * CELLS[1] // PASSAGE) * 3 // SHARD_ROWS))
-    evals = _spelled(classes.filter("in_eval"), UNSURE, shards)
-    trains = _spelled(classes.filter("in_train"), 0, shards)
-    hits = evals.groupBy("shard").cogroup(trains.groupBy("shard")).applyInArrow(_scan, "eval_id bigint, train_id bigint, block int")
+    evals = written(_spelled(classes.filter("in_eval"), UNSURE, shards), "passages")
+    trains = written(_spelled(classes.filter("in_train"), 0, shards), "parts")
+    evals_cut, trains_cut = _cut(evals, trains)
+    by = ("shard", "e", "t")
+    hits = evals_cut.groupBy(*by).cogroup(trains_cut.groupBy(*by)).applyInArrow(_scan, "eval_id bigint, train_id bigint, block int")
     # Passages of one block never overlap, so merged intervals are the set of blocks.
     candidates = hits.filter("eval_id <> train_id").groupBy("eval_id", "train_id").agg(F.bit_count(F.expr("bit_or(1 << block)")).alias("n"))
     share = PASSAGE / (CELLS[0] * CELLS[1])

@@ -77,6 +77,17 @@ def test_recall_against_all_pairs(spark):
     assert got <= want and len(got) >= 0.98 * len(want) and len(want) > 30
 
 
+def test_hot_shards_are_cut(spark, monkeypatch):
+    import boxlake.llm.pictures as P
+
+    made = [(i, noisy(scene(1), i)) for i in range(24)] + [(i, scene(i)) for i in range(24, 30)]
+    refs, images = [ref(i, "train" if i % 3 else "test", f"i{i}") for i, _ in made], [(f"i{i}", pgm(a.tolist())) for i, a in made]
+    want = {(i, j) for i in range(0, 24, 3) for j in range(24) if j % 3}
+    assert pairs(spark, refs, images) == want
+    monkeypatch.setattr(P, "SHARD_ROWS", 5)
+    assert pairs(spark, refs, images) == want
+
+
 def test_flat_pictures_have_no_near_pairs(spark):
     flat = [("a", pgm([[9] * 16] * 12)), ("b", pgm([[7] * 16] * 12))]
     assert pairs(spark, [ref(1, "train", "a"), ref(2, "test", "b")], flat) == set()

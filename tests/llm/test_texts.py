@@ -108,7 +108,7 @@ def test_token_counts(spark):
 ABUSIVE = [
     "You are a useless idiot and everyone here knows it.", "spoken like the arsehhhhole you have always been", "Shut your mouth, you pathetic d i c k h e a d.", "I.d.i.o.ts, the whole lot of you", "stop being such a b@$t@rd", "Listen, mоrоn, nobody asked you",
     "Halt die Klappe, du W1chs3r!", "Cállate ya, hi​jo de puta.", "Hier gibt es P***o ohne Ende, klick drauf", "Send me your pu$$y tonight, I am so horny", "I hate foreigners, they are not even human.", "Frauen sind Ungeziefer und gehören weg.",
-    "I know which desk you sit at, so watch your back", "You imbecille, get lost", "Eres un imbécil", "Another scumbag on the team, may you rot.",
+    "I know which desk you sit at, so watch your back", "You imbecille, get lost", "The data steward from Kalova is a complete rеtаrd.", "Eres un imbécil", "Another scumbag on the team, may you rot.",
 ]
 HARMLESS = [
     "The word filter removed the label cock pheasant by mistake.", "The analysis assesses a mass of assorted classes.", "The bitch on the leash is labelled dog, not car.", "Essex and Scunthorpe plates are unreadable.", "A bastard file cut the bracket.",
