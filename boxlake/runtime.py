@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,25 +18,35 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="boxlake-")
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def _own_folder(spark: SparkSession) -> str:
+    return f"{work_folder(spark)}/boxlake/{spark.sparkContext.applicationId}"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write df as a Parquet table in the shared folder and return a scan of it.
 
     This cuts lineage as checkpoint() does, keeps columnar pruning and statistics, and survives lost executors.
     """
-    path = f"{work_folder(df.sparkSession)}/boxlake/{label}-{uuid.uuid4().hex}"
+    path = f"{_own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._boxlake_path = path
     return out
 
 
+def cleanup(spark: SparkSession) -> None:
+    """Delete all tables this application wrote; results that still read them must have been stored before."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def discard(df: DataFrame | None) -> None:
     """Delete a table made by written(), once nothing reads it any more."""
     path = getattr(df, "_boxlake_path", None)
