@@ -200,6 +200,15 @@ def build_output(rows: DataFrame, refs: DataFrame, plan: DataFrame, strict: bool
     return out.select("image", "image_id", "dataset", "split", "image_path", "width", "height", "condition", "domain", "is_synthetic", objects.alias("objects"), meta.alias("meta_json"), "lineage_id", "content_hash")
 
 
+def order_fingerprint(rows: DataFrame, number: str, text: Column) -> DataFrame:
+    """(n_rows, fingerprint): changes with any row and with the order, which `number` (part of `text`) tells.
+
+    A sum of hashes of numbered rows, so that no task needs to see all rows in order.
+    """
+    value = F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1, 12), 16, 10).cast("decimal(38,0)")
+    return rows.agg(F.count(number).alias("n_rows"), F.sum(value).alias("fingerprint"))
+
+
 def scan_stats(rows: DataFrame) -> DataFrame:
     """Per dataset: rows, objects, retained, ignored, excluded, rows without final objects, rows per split."""
     s = F.transform(F.coalesce("objects", F.array()), lambda o: F.coalesce(object_status(o), F.lit("excluded")))
