@@ -1,10 +1,9 @@
 """Evaluation texts leaking into training text (problem 7).
 
 Word n-grams of the evaluation items are the seeds. One pass over the documents brings each text to plain words and
-finds the seeds in the words' concatenation, so that neither spacing nor words broken at line ends matter. Of every
-stretch of words that must match, the seed that the fewest documents hold is its rare seed; only passages with a rare
-seed are joined to the item. Each passage is aligned to its item by Smith-Waterman, which scores edited and paraphrased
-copies, and an exact check finds the longest run of the item's words that stand in it consecutively.
+finds the seeds in the words' concatenation, so that neither spacing nor words broken at line ends matter. Every
+passage that holds a seed of an item is aligned to it by Smith-Waterman, which scores edited and paraphrased copies, and
+an exact check finds the longest run of the item's words that stand in it consecutively.
 """
 
 from __future__ import annotations
@@ -18,7 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.llm.words import bounds, words
-from boxlake.runtime import written
 
 #: Words per seed, consecutive words that make a leak, and items per pass over the documents.
 SEED, RUN, BLOCK = 4, 8, 5_000
@@ -86,11 +84,11 @@ def _stands(part: str, text: str, edges: set[int]) -> bool:
 
 
 def _passages(documents: DataFrame, doc_id: str, text: str, items: list[tuple[int, list[str]]]) -> DataFrame:
-    """(doc_id, item, seeds, passage) of stretches of documents that hold seeds of an item; items by position."""
-    owners: dict[str, list[tuple[int, int]]] = {}
+    """(doc_id, item, passage) of stretches of documents that hold seeds of an item; items by position."""
+    owners: dict[str, list[int]] = {}
     for n, (_, item) in enumerate(items):
-        for k, seed in enumerate(_seeds(item)):
-            owners.setdefault(seed, []).append((n, k))
+        for seed in dict.fromkeys(_seeds(item)):
+            owners.setdefault(seed, []).append(n)
     spans = [sum(map(len, item)) + 24 for _, item in items]
     made: list = []
 
@@ -102,14 +100,14 @@ def _passages(documents: DataFrame, doc_id: str, text: str, items: list[tuple[in
             machine.make_automaton()
             made.append(machine)
         for batch in batches:
-            ids, whose, seeds, texts = [], [], [], []
+            ids, whose, texts = [], [], []
             for i, t in enumerate(batch.column(1).to_pylist()):
                 tokens = words(t)
                 whole = "".join(tokens)
-                hits: dict[int, list[tuple[int, int, int]]] = {}
+                hits: dict[int, list[tuple[int, int]]] = {}
                 for end, (size, held) in made[0].iter(whole):
-                    for n, k in held:
-                        hits.setdefault(n, []).append((end + 1 - size, end + 1, k))
+                    for n in held:
+                        hits.setdefault(n, []).append((end + 1 - size, end + 1))
                 if not hits:
                     continue
                 ends = np.cumsum([len(w) for w in tokens])
@@ -124,37 +122,21 @@ def _passages(documents: DataFrame, doc_id: str, text: str, items: list[tuple[in
                         hi = int(np.searchsorted(ends, min(len(whole), max(g[1] for g in group) + spans[n]), "left"))
                         ids.append(i)
                         whose.append(n)
-                        seeds.append(sorted({g[2] for g in group}))
                         texts.append(" ".join(tokens[lo : hi + 1]))
                         start = j
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(whose, pa.int32()), pa.array(seeds, pa.list_(pa.int32())), pa.array(texts, pa.string())], ["doc_id", "item", "seeds", "passage"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids, pa.int64())), pa.array(whose, pa.int32()), pa.array(texts, pa.string())], ["doc_id", "item", "passage"])
 
     rows = documents.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text")).filter("doc_id is not null and text is not null and text <> ''")
-    return rows.mapInArrow(run if owners else lambda b: iter(()), "doc_id bigint, item int, seeds array<int>, passage string")
-
-
-def _rare(items: list[tuple[int, list[str]]], held_by: dict[tuple[int, int], int]) -> list[frozenset[int]]:
-    """Per item the rarest seed of each stretch of RUN words (of the whole item if it is shorter)."""
-    out = []
-    for n, (_, item) in enumerate(items):
-        count = len(item) - SEED + 1
-        wide = max(1, min(RUN - SEED + 1, count))
-        out.append(frozenset(min(range(k, k + wide), key=lambda s: (held_by.get((n, s), 0), s)) for k in range(max(0, count - wide + 1))))
-    return out
+    return rows.mapInArrow(run if owners else lambda b: iter(()), "doc_id bigint, item int, passage string")
 
 
 def _block(documents: DataFrame, doc_id: str, text: str, items: list[tuple[int, list[str]]]) -> DataFrame:
-    hits = written(_passages(documents, doc_id, text, items), "passages")
-    # One number per seed of this block of items: its size follows the items, not the documents.
-    counts = hits.select("item", F.explode("seeds").alias("seed"), "doc_id").groupBy("item", "seed").agg(F.count_distinct("doc_id").alias("n")).collect()
-    rare = _rare(items, {(r["item"], r["seed"]): r["n"] for r in counts})
+    hits = _passages(documents, doc_id, text, items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: tuple[list, list, list, list, list] = ([], [], [], [], [])
-            for d, n, seeds, passage in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rare[n].isdisjoint(seeds):
-                    continue
+            for d, n, passage in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 k, item = items[n]
                 tokens = passage.split(" ")
                 score, matched = align(item, tokens)
@@ -171,10 +153,11 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     """(doc_id, item_id, score, matched, run) of documents that hold passages of evaluation items.
 
     score is the best local alignment's share of the item's own score (1: the whole item, word for word), matched the
-    item's words in it, run the most consecutive item words found exactly (0 below eight). Pairs without a rare seed
-    are not returned. Items are taken in blocks, each of which passes over all documents once, so what goes to the
-    tasks is bounded by the block. Null and empty texts hold nothing; an item shorter than a seed cannot be found; an
-    item_id given twice is searched in both its texts; documents repeated under other ids are returned under each.
+    item's words in it, run the most consecutive item words found exactly (0 below eight). Pairs without a seed, that is
+    without four consecutive words of the item, are not returned. Items are taken in blocks, each of which passes over
+    all documents once, so what goes to the tasks is bounded by the block. Null and empty texts hold nothing; an item
+    shorter than a seed cannot be found; an item_id given twice is searched in both its texts; documents repeated under
+    other ids are returned under each.
     """
     wanted = items.select(F.col(item_id).cast("bigint").alias("k"), F.col(item_text).alias("t")).filter("k is not null and t is not null").distinct().orderBy("k", "t")
     parts, held = [], []

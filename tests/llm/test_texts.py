@@ -44,6 +44,16 @@ def test_leaks(spark):
     assert leaks(docs(spark, [(1, ITEM)]).filter(F.lit(False)), items).count() == 0 and leaks(docs(spark, [(1, ITEM)]), items.filter(F.lit(False))).count() == 0
 
 
+def test_edited_leaks(spark):
+    """Copies with a word changed every five to seven words, beside documents that hold none of the changed stretches."""
+    w = [f"word{i}" for i in range(42)]
+    texts = [(n, "before " + " ".join("changed" if i % n == n - 1 else x for i, x in enumerate(w)) + " after") for n in (5, 6, 7)]
+    items = spark.createDataFrame([(1, " ".join(w))], "item_id bigint, text string")
+    for some in (texts, texts[:1], texts[1:2], texts[2:]):
+        got = {r["doc_id"]: r for r in leaks(docs(spark, some), items).collect()}
+        assert set(got) == {n for n, _ in some} and all(r["score"] > 0.5 and r["run"] == 0 for r in got.values())
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(["a", "bb", "c", "dd"]), max_size=14), st.lists(st.sampled_from(["a", "bb", "c", "dd"]), max_size=20))
 def test_runs_and_alignment(item, passage):
