@@ -125,7 +125,8 @@ def plan_merge(refs: DataFrame, node: str = "ref_id", strict: bool = True) -> Da
     """(representative_id, donor_id, component, n_members, n_same, n_protected) of the rows the merge puts out.
 
     One representative per component and content among the members in the protected split; components whose donor has
-    no objects give none. Members of different sizes raise (strict) before anything is dropped, else are left out.
+    no objects give none. Members of different sizes raise (strict) before anything is dropped, else their whole
+    component is left out, and left_out() counts it.
     """
     summary = components_summary(refs, node)
     if strict:
@@ -161,6 +162,17 @@ def merge_stats(refs: DataFrame, plan: DataFrame, node: str = "ref_id") -> DataF
     return per.crossJoin(dup).crossJoin(out)  # one row each
 
 
+def left_out(refs: DataFrame, node: str = "ref_id") -> DataFrame:
+    """(component, n_members, n_left_out) of components whose members differ in size, which plan_merge leaves out.
+
+    n_left_out counts their records that no counter of merge_stats has: the donor has objects and the split is the
+    protected one.
+    """
+    held = refs.join(components_summary(refs, node).filter("mismatched"), "component")
+    n = F.count_if((F.col("donor_objects") > 0) & (F.col("split") == F.col("protected_split")))
+    return held.groupBy("component").agg(F.count("*").alias("n_members"), n.alias("n_left_out"))
+
+
 def lineage_ids(refs: DataFrame) -> DataFrame:
     """(component, lineage_id): a hash over a component's records in stable order.
 
@@ -238,7 +250,10 @@ def manifest(rows: DataFrame, refs: DataFrame, plan: DataFrame) -> str:
     stats = {r["dataset"]: r.asDict() for r in scan_stats(rows).collect()}
     labels = [r.asDict() for r in label_histogram(rows).collect()]
     meta = source_metadata(rows).collect()
-    counters = merge_stats(refs, plan).first().asDict()
+    sizes = left_out(refs).agg(
+        F.count("*").alias("components_of_several_sizes"), F.coalesce(F.sum("n_members"), F.lit(0)).alias("rows_of_several_sizes"), F.coalesce(F.sum("n_left_out"), F.lit(0)).alias("rows_dropped_for_several_sizes"),
+    )
+    counters = merge_stats(refs, plan).first().asDict() | sizes.first().asDict()
     chosen = plan.join(refs.select(F.col("ref_id").alias("representative_id"), "dataset", "split"), "representative_id")
     splits = {r["split"]: r["n"] for r in chosen.groupBy("split").agg(F.count("*").alias("n")).collect()}
     datasets = {r["dataset"]: r["n"] for r in chosen.groupBy("dataset").agg(F.count("*").alias("n")).collect()}

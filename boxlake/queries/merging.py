@@ -91,6 +91,12 @@ def merge_stats(spark, folder):
     return M.merge_stats(linked, M.plan_merge(linked, strict=False))
 
 
+@query("w7_left_out", f"with recursive {COMP_SQL} select component, count(*) n_members, count(*) filter (coalesce(dn,0) > 0 and split = ps) n_left_out from full_ where mismatched group by component")
+def left_out(spark, folder):
+    """W-7: components of several sizes, which the plan leaves out, and how many of their rows nothing else counts."""
+    return M.left_out(_linked(spark, folder))
+
+
 @query("a2_scan_stats", f"""with {ROWS_SQL}, per as (select image_id, count(o) n, count(*) filter ({_STATUS} = 'retained') r, count(*) filter ({_STATUS} = 'ignored') i, count(*) filter ({_STATUS} = 'excluded') e from obj group by image_id)
 select dataset, count(*) "rows", coalesce(sum(n),0)::bigint objects, coalesce(sum(r),0)::bigint retained_class_objects, coalesce(sum(i),0)::bigint ignored_objects_dropped, coalesce(sum(e),0)::bigint excluded_class_objects_dropped,
  count(*) filter (coalesce(r,0) = 0) rows_without_final_objects_before_enrichment, count(*) filter (split='train') rows_train, count(*) filter (split='val') rows_val, count(*) filter (split='test') rows_test from rows_ left join per using (image_id) group by dataset""")

@@ -41,6 +41,18 @@ def test_dimensions(spark):
     assert planned(spark, rows, strict=False)[0] == []
 
 
+def test_left_out(spark):
+    rows = [ref(0, "hazydet", "train", "a", src="9"), ref(1, "hazydet_clear", "train", "b", width=9, src="9"), ref(2, "hazydet", "val", "c", src="9"), ref(3, "acdc", "train", "d"), ref(4, "acdc", "train", "e", ())]
+    linked = M.lineage(spark.createDataFrame(rows, REF))
+    plan = M.plan_merge(linked, strict=False)
+    s, out = M.merge_stats(linked, plan).first().asDict(), M.left_out(linked).collect()
+    assert [tuple(r) for r in out] == [(0, 3, 1)]
+    dropped = sum(v for k, v in s.items() if k.startswith("rows_dropped"))
+    assert s["output_rows"] + dropped + sum(r["n_left_out"] for r in out) == len(rows)
+    told = json.loads(M.manifest(spark.createDataFrame([], CANONICAL), linked, plan))["deduplication"]
+    assert (told["components_of_several_sizes"], told["rows_of_several_sizes"], told["rows_dropped_for_several_sizes"]) == (1, 3, 1)
+
+
 def test_meta_label_is_authority(spark):
     o = lambda n, m, i=False: ([1.0, 1.0, 4.0, 4.0], n, None, m, i, False, "{}")
     rows = [(None, "i", "carpk", "train", "p", 16, 16, "c", "d", None, [o("biker", None), o("not-a-car", "car"), o("car", "boat"), o("bus", "bus", True)], "{}")]
