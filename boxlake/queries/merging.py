@@ -168,11 +168,36 @@ def output_rows(spark, folder):
 
 @query("f11_violations", f"with {ROWS_SQL} select 'no objects' \"check\", image_id \"key\", count(*) n from rows_ where coalesce(len(objects),0) = 0 group by 2 union all select 'illegal object', image_id, count(*) from obj where coalesce(o.ignore,false) or o.meta_label is null or o.meta_label not in {_CLASSES} group by 2")
 def violations(spark, folder):
-    """F-11: what the raw rows would violate as a saved merge (hashes and lineages aside)."""
+    """F-11: what the latest rows would violate as a saved merge (hashes and lineages aside: f11_delivered_violations)."""
     rows = _rows(spark, folder).select("image_id", "split", "objects", F.lit(None).cast("string").alias("content_hash"), F.lit(None).cast("string").alias("lineage_id"))
     return M.violations(rows)
 
 
+@query("f11_delivered_violations", f"""with recursive {COMP_SQL},
+all_ as (select r.image_id, {_SPLIT} split, r.objects, sha256(r.image.bytes) h, c.component from image_rows r left join (select image_id, min(component) component from comp group by image_id) c using (image_id)), o as (select image_id, unnest(objects) o from all_ where objects is not null)
+select 'repeated image_id' "check", image_id "key", count(*) n from all_ group by 2 having count(*) > 1
+union all select 'hash in several splits', h, count(*) from all_ where h is not null group by 2 having count(distinct split) > 1
+union all select 'lineage in several splits', component::varchar, count(*) from all_ where component is not null group by 2 having count(distinct split) > 1
+union all select 'no objects', image_id, count(*) from all_ where coalesce(len(objects),0) = 0 group by 2
+union all select 'illegal object', image_id, count(*) from o where coalesce(o.ignore,false) or o.meta_label is null or o.meta_label not in {_CLASSES} group by 2
+union all select 'unknown split', split, count(*) from all_ where split is null group by 2""")
+def delivered_violations(spark, folder):
+    """F-11: what all rows as delivered would violate as a saved merge, by the hash of their bytes and their component."""
+    parts = _linked(spark, folder).filter("image_id is not null").groupBy("image_id").agg(F.min("component").cast("string").alias("lineage_id"))
+    rows = table(spark, folder, "image_rows").select("image_id", split_name(F.col("split")).alias("split"), "objects", F.sha2("image.bytes", 256).alias("content_hash"))
+    return M.violations(rows.join(parts, "image_id", "left"))
+
+
+@query("f11_merged_violations")
+def merged_violations(spark, folder):
+    """F-11: what the merge's own output violates."""
+    linked = _linked(spark, folder)
+    rows = _rows(spark, folder).join(linked.select("image_id", "ref_id"), "image_id")
+    out = M.build_output(rows, linked, M.plan_merge(linked, strict=False), strict=False)
+    objects = F.transform("objects", lambda o: F.struct(o["ignore"].alias("ignore"), o["meta_label"].alias("meta_label")))
+    return M.violations(written(out.select("image_id", "split", objects.alias("objects"), "content_hash", "lineage_id"), "merged"))
+
+
 @query("a9_manifest")
 def manifest(spark, folder):
     """A-9: the manifest as one JSON document."""

@@ -105,6 +105,20 @@ def test_violations(spark):
     assert {r["check"] for r in M.violations(df).collect()} == {"repeated image_id", "hash in several splits", "lineage in several splits", "no objects", "illegal object", "unknown split"}
 
 
+def test_delivered_violations(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    o = [([0.0, 0.0, 4.0, 4.0], "a", None, "car", False, False, "{}")]
+    pic = lambda i, split, data: ((bytearray(data), "p"), f"acdc:{i}", "acdc", split, "p", 8, 8, "c", "d", False, o, "{}")
+    rows = [pic(0, "train", b"x"), pic(1, "Val ", b"x"), pic(2, "train", b"y"), pic(2, "train", b"y"), pic(3, "train", b"v"), pic(4, "test", b"w")]
+    spark.createDataFrame(rows, CANONICAL).withColumn("delivered_at", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "image_rows.parquet"))
+    scans = [(i, "acdc", s, i, f"acdc:{i}", 8, 8, h * 64, None, 1, [("car", 1)], "a") for i, s, h in ((0, "train", "1"), (1, "val", "1"), (3, "train", "2"), (4, "test", "2"))]
+    spark.createDataFrame(scans, REF.replace(" index int", " row_index int")).withColumn("scanned_at", F.lit("2024-01-01").cast("timestamp_ntz")).write.parquet(str(tmp_path / "row_refs.parquet"))
+    got = {(r["check"], r["n"]) for r in entry.queries()["f11_delivered_violations"](spark, str(tmp_path)).collect()}
+    assert got == {("repeated image_id", 2), ("hash in several splits", 2), ("lineage in several splits", 2)}
+    assert [(r["check"], r["key"]) for r in entry.queries()["f11_merged_violations"](spark, str(tmp_path)).collect()] == []
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 200 + i) for i in range(20)] + [(7, 7), (999, 999), (None, 3)]
     got = dict(map(tuple, min_label_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()))
