@@ -115,6 +115,13 @@ def test_survivors(spark):
     assert survivors(*tables(spark, refs[:0], [])).count() == 0
 
 
+def test_survivor_identity(spark):
+    data = pgm(scene(1).tolist())
+    refs, images = tables(spark, [ref(1, "train", "a"), ref(2, "test", "b", dataset="xwod")], [("a", data), ("b", data)])
+    r = survivors(refs.selectExpr("*", "ref_id + 10 row_order"), images).first()
+    assert (r["dataset"], r["split"], r["row_index"], r["row_order"], r["image_id"], r["content_hash"]) == ("xwod", "test", 2, 12, "b", content_hash(data).hex())
+
+
 def test_contradicting_hashes_still_tie(spark):
     a, b = pgm(scene(1).tolist()), pgm(scene(2).tolist())
     refs = [ref(1, "train", "a", content_hash(b).hex()), ref(2, "train", "b"), ref(3, "val", "x", content_hash(b).hex())]
