@@ -7,7 +7,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from boxlake.llm import packing as K
-from boxlake.llm.abuse import Reader, abuse_scores
+from boxlake.llm import lexicon as X
+from boxlake.llm.abuse import THRESHOLD, VOCABULARY, Reader, abuse_scores, ordinary_words
 from boxlake.llm.leaks import align, leaks, longest_run
 from boxlake.llm.words import words
 
@@ -115,26 +116,53 @@ def test_token_counts(spark):
     assert 2 <= got[1] <= 4 and got[2] == got[3] == 0 and got[4] > 50_000 and got[None] == 1
 
 
+READER = Reader(ordinary_words(VOCABULARY))
+
 ABUSIVE = [
     "You are a useless idiot and everyone here knows it.", "spoken like the arsehhhhole you have always been", "Shut your mouth, you pathetic d i c k h e a d.", "I.d.i.o.ts, the whole lot of you", "stop being such a b@$t@rd", "Listen, mоrоn, nobody asked you",
     "Halt die Klappe, du W1chs3r!", "Cállate ya, hi​jo de puta.", "Hier gibt es P***o ohne Ende, klick drauf", "Send me your pu$$y tonight, I am so horny", "I hate foreigners, they are not even human.", "Frauen sind Ungeziefer und gehören weg.",
-    "I know which desk you sit at, so watch your back", "You imbecille, get lost", "The data steward from Kalova is a complete rеtаrd.", "Eres un imbécil", "Another scumbag on the team, may you rot.",
+    "I know which desk you sit at, so watch your back", "You imbecille, get lost", "You are an idoit and a disgrace.", "i will ki11 you tomorrow", "Those migrants? Foreigners are verm1n.", "I know where your kids go to school.", "We will smash your teeth in", "No one is going to mourn you, jump off a cliff.",
+    "you 455hole", "you " + "i" * 45 + "diot, go away", "x y z a b c d e f g h k l m n p d i c k h e a d q r s t u v w, you", "Te voy a matar.", "Cállate ya, h.i.j.o. .d.e. .p.u.t.a!!", "Ich weiß, wo du schläfst.", "Muslims do not deserve to live here", "she got promoted on her knees for the boss", "The data steward from Kalova is a complete rеtаrd.", "Eres un imbécil", "Another scumbag on the team, may you rot.",
 ]
 HARMLESS = [
     "The word filter removed the label cock pheasant by mistake.", "The analysis assesses a mass of assorted classes.", "The bitch on the leash is labelled dog, not car.", "Essex and Scunthorpe plates are unreadable.", "A bastard file cut the bracket.",
-    "This pass is terrible work and I am fed up with the numbers.", "Retard the shutter by 9 ms when glare sets in.", "Nude-coloured paint fools the check.", "The framecut script is idiot-proof by now.", "The job died and its child was killed twice.", "Moron is the old name of the test bench.",
+    "This pass is terrible work and I am fed up with the numbers.", "Retard the shutter by 9 ms when glare sets in.", "Nude-coloured paint fools the check.", "The framecut script is idiot-proof by now.", "The job died and its child was killed twice.", "The reviewer wrote: 'I will kill you', so the comment was reported.", "One message said \"you are vermin, go to hell\" and was flagged.", "We will break the loop at the head of the file.", "A dollar collar was bitten by the county shepherd.", "Nobody missed the label on your bridge frame.", "img_455_d1f.png b4633 4155", "Moron is the old name of the test bench.",
     "Women and old people cross here more often than in Kalholt.", "The haze can be seen with the naked eye.", "Kill the stale worker and restart the export.", "", "   ", "dollar collar bitten kitten organism nudges",
 ]
 
 
 @pytest.mark.parametrize("text", ABUSIVE)
 def test_abusive(text):
-    assert max(Reader().passages(text))[0] >= 0.5
+    assert max(READER.passages(text))[0] >= 0.5
 
 
 @pytest.mark.parametrize("text", HARMLESS)
 def test_harmless(text):
-    assert max(Reader().passages(text), default=(0, ""))[0] < 0.5
+    assert max(READER.passages(text), default=(0, ""))[0] < 0.5
+
+
+def test_misspelled_terms():
+    """One edit in strong terms and frame words within plain sentences: what the automaton adds to exact terms."""
+    rng, exact = random.Random(3), Reader(ordinary_words(VOCABULARY), edits=0)
+    planted = []
+    for term in X.INSULT_STRONG:
+        if len(term) >= 5:
+            i, c = rng.randrange(1, len(term) - 1), rng.choice("bcdfgklmnprtvw")
+            planted.append(("you are a {}, nobody likes you", rng.choice((term[:i] + c + term[i:], term[:i] + term[i + 1 :], term[:i] + c + term[i + 1 :], term[: i - 1] + term[i] + term[i - 1] + term[i + 1 :]))))
+    for word in ("vermin", "parasites", "subhuman", "cockroaches", "disgusting"):
+        i = rng.randrange(2, len(word) - 1)
+        planted.append(("immigrants are {}", word[:i] + word[i + 1 :]))
+    found = lambda reader: sum(max(reader.passages(t.format(w)), default=(0, ""))[0] >= THRESHOLD for t, w in planted)
+    with_edits, without = found(READER), found(exact)
+    assert len(planted) > 50 and without <= 0.2 * len(planted) and with_edits - without >= 0.6 * len(planted)
+
+
+def test_no_term_in_ordinary_text():
+    """Common words of a public vocabulary, in sentences that address someone, are no misspelled terms."""
+    terms = {*X.INSULT_STRONG, *X.INSULT_WEAK, *X.SEXUAL_STRONG, *X.SEXUAL_WEAK}
+    common = sorted(w for w in ordinary_words(VOCABULARY) if w.isascii() and len(w) > 4)[::40]
+    hits = [w for w in common if (r := READER.read(w)) and r[1] and not any(w.startswith(t) for t in terms)]
+    assert len(common) > 200 and not hits
 
 
 def test_abuse_scores(spark):
