@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm.packing import fill, packed, token_counts
+from boxlake.llm.packing import fill, packed, plan_and_place, token_counts
 from boxlake.runtime import table
 
 
@@ -15,7 +15,8 @@ def containers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
-    return fill(containers(spark, folder))
+    """How well the containers are filled, beside the least number that the LP proves."""
+    return fill(*plan_and_place(token_counts(table(spark, folder, "documents")), "doc_id", "n_tokens"))
 
 
 def lengths(spark: SparkSession, folder: str) -> DataFrame:

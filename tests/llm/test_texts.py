@@ -1,6 +1,8 @@
 import random
 from collections import defaultdict
+from itertools import product
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -78,6 +80,43 @@ def test_plan(histogram):
     assert p.containers >= -(-total // 50) and (p.containers <= 2 * -(-total // 50))
 
 
+def best_fit(histogram, capacity):
+    rooms = []
+    for x in sorted((x for x, n in histogram.items() for _ in range(n)), reverse=True):
+        i = min((i for i, r in enumerate(rooms) if r >= x), key=lambda i: rooms[i], default=None)
+        if i is None:
+            rooms.append(capacity - x)
+        else:
+            rooms[i] -= x
+    return len(rooms)
+
+
+@pytest.mark.parametrize("scale", [1, 50])
+def test_plan_where_best_fit_is_worse(scale):
+    """Half, quarter and a bit: best-fit in decreasing order needs 11 containers for every 9."""
+    h = {51: 60 * scale, 27: 60 * scale, 26: 60 * scale, 23: 120 * scale}
+    p = K.plan_containers(h, 100)
+    assert p.containers == 90 * scale and p.containers <= 1.01 * p.bound and p.lp_containers >= 0.98 * p.containers
+    if scale == 1:
+        assert best_fit(h, 100) > 1.2 * p.containers
+    thirds = {690 + i: 5 + i * 7 % 53 for i in range(70)} | {300 + i: 3 for i in range(80)}
+    q = K.plan_containers(thirds, 2048)
+    in_lp = sum(k * n for kind, n in zip(q.kinds[: q.by_lp], q.times) for _, k in kind)
+    assert q.bound <= q.containers <= 1.01 * q.bound and in_lp >= 0.9 * sum(thirds.values()) and sum(x * n for x, n in thirds.items()) / 2048 < 0.85 * q.bound
+
+
+def test_pricing():
+    """The knapsack program against all contents of a small container."""
+    rng = np.random.default_rng(5)
+    for _ in range(20):
+        lengths, number, worth = np.sort(rng.choice(np.arange(1, 12), 4, False)), rng.integers(1, 4, 4), rng.random(4)
+        sack = K.Knapsack(lengths, number, 15)
+        best = sack.solve(worth)
+        want = max(float(np.dot(c, worth)) for c in product(*[range(n + 1) for n in number]) if np.dot(c, lengths) <= 15)
+        content = sack.contents(np.array([15]))[0]
+        assert np.isclose(best[15], want) and np.isclose(content @ worth, want) and content @ lengths <= 15 and (content <= number).all()
+
+
 def check_placed(rows, capacity):
     by = defaultdict(list)
     for r in rows:
@@ -105,7 +144,7 @@ def test_packed(spark):
     assert {r["length"] for r in cut if r["piece"] > 0} <= {64, 2, 3, 0} | {64}
     tokens = sum(n or 0 for _, n in items)
     assert len(by) <= tokens / 64 * 1.02 + 1 and sum(r["length"] for r in rows) == tokens
-    f = K.fill(K.packed(df, "doc_id", "n", 64), 64).first()
+    f = K.fill(*K.plan_and_place(df, "doc_id", "n", 64)).first()
     assert f["n_containers"] == len(by) and f["n_tokens"] == tokens
     assert K.packed(df.filter(F.lit(False)), "doc_id", "n", 64).count() == 0
     check_placed(K.packed(df.filter("n = 0"), "doc_id", "n", 64).collect(), 64)
