@@ -42,7 +42,7 @@ def test_leaks(spark):
     assert {d for (d, i), r in got.items() if r["run"] >= 8} == {1, 2, 4, 5, 9, 11} and {i for _, i in got} == {5}
     assert got[1, 5]["score"] == 1.0 and got[1, 5]["run"] == len(w) and got[1, 5]["matched"] == len(w)
     assert got[3, 5]["run"] == 0 and 0.4 < got[3, 5]["score"] < 0.7
-    blocks = leaks(docs(spark, list(cases.items())), items, block=1).filter("run >= 8").select("doc_id").distinct()
+    blocks = leaks(docs(spark, list(cases.items())), items, band=4).filter("run >= 8").select("doc_id").distinct()
     assert blocks.count() == 6
     assert leaks(docs(spark, [(1, ITEM)]).filter(F.lit(False)), items).count() == 0 and leaks(docs(spark, [(1, ITEM)]), items.filter(F.lit(False))).count() == 0
 
@@ -57,6 +57,56 @@ def test_edited_leaks(spark):
         assert set(got) == {n for n, _ in some} and all(r["score"] > 0.5 and r["run"] == 0 for r in got.values())
 
 
+def edited(rng, item, rate):
+    out = []
+    for w in item:
+        if rng.random() >= rate:
+            out.append(w)
+        elif (kind := rng.randrange(3)) == 0:
+            out.append(f"other{rng.randrange(1000)}")
+        elif kind == 1:
+            out += [w, f"more{rng.randrange(1000)}"]
+    return out
+
+
+def test_recall_of_edited_copies(spark):
+    """Copies with a tenth, a fifth and three tenths of their words changed, left out or followed by others."""
+    rng = random.Random(8)
+    items = [[f"{rng.choice('bcdfghklmnprst')}{rng.choice('aeiou')}{rng.choice('lmnrst')}{rng.choice(['a', 'en', 'ic', 'or'])}{i % 7}" for _ in range(30)] for i in range(60)]
+    rates = (0.1, 0.2, 0.3)
+    texts = [(1000 * r + i, "start of it " * 50 + " ".join(edited(rng, item, rate)) + " and so on" * 50) for r, rate in enumerate(rates) for i, item in enumerate(items)]
+    wanted = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in leaks(docs(spark, texts), wanted).collect() if r["score"] >= 0.5}
+    recall = [sum((1000 * r + i, i) in got for i in range(60)) / 60 for r in range(3)]
+    assert recall[0] == 1 and recall[1] >= 0.95 and recall[2] >= 0.8 and all(d % 1000 == i for d, i in got)
+
+
+def test_common_seeds(spark, monkeypatch):
+    """Exact copies are found although every seed is common; items that share a beginning are told apart."""
+    import boxlake.llm.leaks as M
+
+    same = "which of the following statements about the muddy weighbridge is always true"
+    items = spark.createDataFrame([(i, f"{same} number{i} or letter{i} perhaps") for i in range(30)] + [(50, "a b c d e f g h i j"), (51, "a b c"), (52, "uno dos tres cuatro cinco")], "item_id bigint, text string")
+    texts = [(i, f"so {same} number{i} or letter{i} perhaps, they said") for i in range(30)] + [(99, f"{same} it ends"), (100, "x b c d e f g h i y"), (101, "uno dos tres cuatro cinco seis"), (102, "a b c")]
+    want = {(i, j) for i in [*range(30), 99] for j in range(30)} | {(100, 50)}
+    for rare in (M.RARE, 0):
+        monkeypatch.setattr(M, "RARE", rare)
+        got = leaks(docs(spark, texts), items).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in got if r["run"] >= 8} == want
+        assert all(r["score"] == 1.0 for r in got if r["doc_id"] == r["item_id"])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["a", "bb", "c", "dddd", "eeeeeeeee"]), min_size=1, max_size=30), st.integers(0, 22))
+def test_every_stretch_holds_a_seed(item, start):
+    from boxlake.llm.leaks import RUN, item_seeds
+
+    seeds, part = item_seeds(item), item[start : start + RUN]
+    lo = sum(map(len, item[:start]))
+    if len(part) == RUN:
+        assert any(lo <= letter and letter + size <= lo + sum(map(len, part)) for _, letter, _, size in seeds)
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.sampled_from(["a", "bb", "c", "dd"]), max_size=14), st.lists(st.sampled_from(["a", "bb", "c", "dd"]), max_size=20))
 def test_runs_and_alignment(item, passage):
