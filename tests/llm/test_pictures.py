@@ -139,5 +139,28 @@ def test_quality_finds_the_poor_source(spark):
             own = truth if s != "bad" or rng.random() < 0.3 else rng.sample(["car", "bus", "dog", "cat"], 2)
             rows.append((g, s, 1, 1, 1, None, None, None, [(c, 1) for c in own]))
     m = spark.createDataFrame(rows, "group_id bigint, dataset string, width int, height int, object_count int, annotation_hash string, source_image_id string, sequence_id string, class_counts array<struct<class_name:string,n:int>>")
-    q = source_quality(_facts(_claims(m)))
+    q = {(r["kind"], r["source"]): (r["sensitivity"], r["specificity"]) for r in source_quality(_facts(_claims(m)))[0].collect()}
     assert q["class", "good"][0] > q["class", "bad"][0] + 0.15 and q["class", "good"][1] > q["class", "bad"][1]
+
+
+def test_model_beats_the_majority(spark):
+    """Two good and two poor sources teach the model; then one good source stands against two poor ones that agree."""
+    rng, refs, images = random.Random(2), [], []
+    truth, values = {}, list(range(1, 7))
+
+    def group(g, claims):
+        data = pgm(np.random.default_rng(g).integers(0, 255, (4, 4)).tolist())
+        for s, v in claims:
+            k = len(refs)
+            refs.append(ref(k, "train", f"i{k}", dataset=s, width=v, classes=("car",)))
+            images.append((f"i{k}", data))
+        return len(refs) - len(claims)
+
+    for g in range(120):
+        true = rng.choice(values)
+        group(g, [("good", true), ("fine", true), *((s, true if rng.random() < 0.25 else rng.choice(values)) for s in ("poor", "bad"))])
+    for g in range(200, 220):
+        true, wrong = rng.sample(values, 2)
+        truth[group(g, [("good", true), ("poor", wrong), ("bad", wrong)])] = (true, wrong)
+    got = {r["group_id"]: r["width"] for r in survivors(*tables(spark, refs, images)).collect()}
+    assert sum(got[g] == true for g, (true, _) in truth.items()) >= 19 and len(got) == 140
