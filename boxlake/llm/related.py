@@ -38,10 +38,15 @@ def hash_to_min(edges: DataFrame) -> DataFrame:
     return now.groupBy("n").agg(F.min("m").alias("component")).withColumnRenamed("n", "node")
 
 
-def rendezvous(key: Column, proportions: dict[str, float] = PROPORTIONS, seed: int = 0) -> Column:
-    """The split of a key: the one with the greatest weight / -ln(hash of key and split)."""
-    draw = lambda name: (F.xxhash64(key, F.lit(name), F.lit(seed)).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / F.lit(float(1 << 52))
-    scores = [F.struct((F.lit(float(w)) / -F.log(draw(name))).alias("score"), F.lit(name).alias("split")) for name, w in proportions.items() if w > 0]
+def rendezvous(key: Column, proportions: dict[str, float | Column] = PROPORTIONS, seed: int = 0) -> Column:
+    """The split of a key: the one with the greatest -weight / ln(draw), a draw being a hash of key, split and seed.
+
+    Weights may be columns; a split of weight 0 or less is never taken while another has more. Ties go to the last name.
+    """
+    digits = lambda name: F.conv(F.substring(F.md5(F.concat_ws("|", key.cast("string"), F.lit(name), F.lit(str(seed)))), 1, 13), 16, 10).cast("double")
+    draw = lambda name: (digits(name) + 0.5) / F.lit(float(1 << 52))
+    weight = lambda w: w if isinstance(w, Column) else F.lit(float(w))
+    scores = [F.struct((F.greatest(weight(w), F.lit(0.0)) / -F.log(draw(name))).alias("score"), F.lit(name).alias("split")) for name, w in proportions.items()]
     return (F.greatest(*scores) if len(scores) > 1 else scores[0])["split"]
 
 
@@ -57,8 +62,22 @@ def related_groups(refs: DataFrame, ties: DataFrame) -> DataFrame:
 
 
 def grouped_splits(refs: DataFrame, ties: DataFrame, proportions: dict[str, float] = PROPORTIONS, seed: int = 0) -> DataFrame:
-    """related_groups() with new_split, which is the same for all records of a group."""
-    return related_groups(refs, ties).withColumn("new_split", rendezvous(F.col("group_id"), proportions, seed))
+    """related_groups() with new_split, which is the same for all records of a group; shares are those of records.
+
+    A group larger than the smallest split's share of all records goes to the largest split, and the draw of the others
+    takes into account what these giants fill already: one of them can neither fill nor empty a small split.
+    """
+    placed = written(related_groups(refs, ties), "related")
+    sizes = placed.groupBy("group_id").agg(F.count("*").alias("n"))
+    largest, total = max(proportions, key=lambda k: proportions[k]), sum(proportions.values())
+    shares = {k: w / total for k, w in proportions.items() if w > 0}
+    giant = lambda n, all_: n > all_ * min(shares.values())
+    sizes = sizes.crossJoin(sizes.agg(F.sum("n").alias("all")))  # one row
+    sizes = written(sizes.withColumn("giant", giant(F.col("n"), F.col("all"))), "sizes")
+    sizes = sizes.crossJoin(sizes.agg(F.coalesce(F.sum(F.when(F.col("giant"), F.col("n"))), F.lit(0)).alias("filled")))  # one row
+    weights = {k: F.col("all") * w - (F.col("filled") if k == largest else 0) for k, w in shares.items()}
+    split = F.when(F.col("giant"), F.lit(largest)).otherwise(rendezvous(F.col("group_id"), weights, seed))
+    return placed.join(sizes.select("group_id", split.alias("new_split")), "group_id").select(*placed.columns, "new_split")
 
 
 def divided_groups(refs: DataFrame, ties: DataFrame) -> DataFrame:

@@ -91,3 +91,15 @@ def test_splits(spark):
     assert {r["group_id"] for r in divided} == {g for g in range(0, 1000, 4) if any(x % 7 == 0 for x in range(g, g + 4))}
     assert spark.range(5).select(rendezvous(F.col("id"), {"train": 1.0, "val": 0.0})).distinct().first()[0] == "train"
     assert divided_groups(refs.filter(F.lit(False)), ties).count() == 0
+
+
+def test_a_giant_group_does_not_shift_the_shares(spark):
+    """A third of all records in one group, the rest in groups of one to three."""
+    refs = spark.range(6000).selectExpr("id ref_id", "'train' split")
+    ties = spark.range(2000).selectExpr("id a", "0L b").union(spark.range(2000, 6000).selectExpr("id a", "case when id % 4 = 1 then id - 1 else id end b"))
+    for seed in range(2):
+        out = grouped_splits(refs, ties, seed=seed).groupBy("new_split").count().collect()
+        share = {r["new_split"]: r["count"] / 6000 for r in out}
+        assert abs(share["train"] - 0.8) < 0.03 and abs(share["val"] - 0.1) < 0.025 and abs(share["test"] - 0.1) < 0.025
+    assert {r["new_split"] for r in grouped_splits(refs, ties, {"train": 1.0, "val": 0.0}).select("new_split").distinct().collect()} == {"train"}
+    assert grouped_splits(refs.limit(0), ties).count() == 0
