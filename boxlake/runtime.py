@@ -29,13 +29,13 @@ def _own_folder(spark: SparkSession) -> str:
     return f"{work_folder(spark)}/boxlake/{spark.sparkContext.applicationId}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write df as a Parquet table in the shared folder and return a scan of it.
+def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Write df as a Parquet table in the shared folder, in folders by the columns `by`, and return a scan of it.
 
     This cuts lineage as checkpoint() does, keeps columnar pruning and statistics, and survives lost executors.
     """
     path = f"{_own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._boxlake_path = path
     return out
