@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boxlake.llm.pictures import cross_split_overlaps
+from boxlake.llm.pictures import cross_split_overlaps, overlap_counts
 from boxlake.runtime import table
 
 
@@ -20,8 +20,8 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
 
 def report(spark: SparkSession, folder: str) -> DataFrame:
     """Overlapping records and pairs per split and dataset of the evaluation record."""
-    pairs = _overlaps(spark, folder).groupBy("eval_split", "eval_dataset", "eval_ref").agg(F.count_distinct("train_ref").alias("n"), F.max("coverage").alias("coverage"))
-    return pairs.groupBy(F.col("eval_split").alias("split"), F.col("eval_dataset").alias("dataset")).agg(F.count("*").alias("n_records"), F.sum("n").alias("n_pairs"), F.round(F.avg("coverage"), 6).alias("mean_coverage"))
+    counts = overlap_counts(table(spark, folder, "row_refs"), table(spark, folder, "image_rows"))
+    return counts.groupBy("split", "dataset").agg(F.count("*").alias("n_records"), F.sum("n_train").alias("n_pairs"), F.round(F.avg("coverage"), 6).alias("mean_coverage"))
 
 
 QUERIES = {"p1_found": found, "p1_report": report}

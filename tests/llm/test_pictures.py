@@ -6,7 +6,7 @@ import numpy as np
 
 from boxlake.functions.headers import picture_size
 from boxlake.functions.pictures import content_hash, decode_graymap, thumbnail
-from boxlake.llm.pictures import cell_values, cross_split_overlaps, passages
+from boxlake.llm.pictures import APART, PASSAGES, cross_split_overlaps, near_pairs, normalised, overlap_counts, passages, sketches, spellings
 from boxlake.llm.survivors import survivors
 from tests.pictures import pgm, png
 
@@ -94,8 +94,77 @@ def test_flat_pictures_have_no_near_pairs(spark):
 
 
 def test_passages():
-    rows, at, texts = passages(cell_values(scene(1).reshape(1, -1).astype(float)), 2)
-    assert len(rows) == 3 * 4 and set(at) == {0, 1, 2} and set(texts.ravel().tolist()) <= set(b"abc")
+    codes, weak = passages(normalised(scene(1).reshape(1, -1).astype(np.float32))[0], 2)
+    rows, spelled = spellings(codes[0], weak[0])
+    assert codes.shape == (1, PASSAGES) and len(rows) == 4 * PASSAGES and len({(r, c) for r, c in zip(rows.tolist(), spelled.tolist())}) == len(rows)
+    assert all((c ^ codes[0][r]) & ~weak[0][r] == 0 for r, c in zip(rows.tolist(), spelled.tolist()))
+
+
+def changed(rng, pictures, kind, r):
+    """Pictures whose correlation with the given ones is r, by noise of pixels, noise of cells, or light that changes smoothly."""
+    n = len(pictures)
+    if kind == "pixels":
+        noise = rng.standard_normal((n, 12, 16))
+    elif kind == "cells":
+        noise = np.kron(rng.standard_normal((n, 6, 8)), np.ones((2, 2)))
+    else:
+        y, x = np.mgrid[0:1:12j, 0:1:16j]
+        noise = sum(rng.standard_normal((n, 1, 1)) * f for f in (y, x, x * y, np.cos(3 * x), np.cos(3 * y)))
+    z = pictures / np.linalg.norm(pictures, axis=1, keepdims=True)
+    e = noise.reshape(n, -1)
+    e = e - e.mean(1, keepdims=True)
+    e = e - (e * z).sum(1, keepdims=True) * z
+    return r * z + np.sqrt(1 - r * r) * e / np.linalg.norm(e, axis=1, keepdims=True)
+
+
+def passage_recall(rng, pictures, kind, r):
+    """The share of changed pictures that meet their original in a passage and by their sketches."""
+    a = normalised(pictures.astype(np.float32))[0]
+    b = changed(rng, a.astype(float), kind, r).astype(np.float32)
+    (codes, weak), (other, _) = passages(a), passages(b, 0)
+    met = (((codes ^ other) & ~weak) == 0).any(1)
+    apart = np.bitwise_count((sketches(a) ^ sketches(b)).view(np.uint64)).sum(1)
+    return float((met & (apart <= APART)).mean())
+
+
+def test_recall_near_the_threshold():
+    rng = np.random.default_rng(6)
+    pictures = np.stack([noisy(scene(s), s, 20).ravel() for s in range(800)]).astype(float)
+    for kind in ("pixels", "cells", "light"):
+        for r in (0.9, 0.91, 0.92, 0.95):
+            assert passage_recall(rng, pictures, kind, r) >= 0.97, (kind, r)
+
+
+def test_one_passage_shared_by_all(spark):
+    """50,000 pictures alike in the signs of one passage and otherwise different, and a few true pairs among them."""
+    import pandas as pd
+
+    from boxlake.llm.pictures import _TURNED, SIGNS
+
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((50_000, len(_TURNED))).astype(np.float32)
+    x[:, :SIGNS] = np.abs(x[:, :SIGNS]) * np.where(np.arange(SIGNS) % 3, 1, -1)
+    x[1000:1020] = x[:20] + 0.2 * rng.standard_normal((20, x.shape[1]))
+    z = x @ _TURNED
+    z = z - z.mean(1, keepdims=True)
+    pixels = np.rint(32768 + 6000 * z / z.std(1, keepdims=True)).clip(0, 65535).astype("<u2")
+    frame = pd.DataFrame({"class_id": np.arange(50_000), "thumb": [p.tobytes() for p in pixels]})
+    classes = spark.createDataFrame(frame, "class_id bigint, thumb binary").selectExpr("*", "class_id >= 1000 as in_train", "class_id < 1000 or class_id >= 25000 as in_eval").repartition(8)
+    got = {(r["eval_id"], r["train_id"]) for r in near_pairs(classes).filter("eval_id <> train_id").collect()}
+    assert got == {(i, 1000 + i) for i in range(20)}
+
+
+def test_counts_are_those_of_the_pairs(spark):
+    """Copies, records of two classes (bytes and hash of different pictures) and records without a picture."""
+    a, b = (pgm(scene(s).tolist()) for s in (1, 2))
+    ha, hb = content_hash(a).hex(), content_hash(b).hex()
+    refs = [ref(i, "train", "a") for i in range(5)] + [ref(5, "train", "a", hb), ref(6, "test", "b", ha), ref(7, "val", "b"), ref(8, "test", None, ha), ref(9, "train", None, "f" * 64), ref(10, "val", None, "f" * 64), ref(11, "val", "q")]
+    t = tables(spark, refs, [("a", a), ("b", b)])
+    want = {}
+    for r in cross_split_overlaps(*t).collect():
+        want.setdefault(r["eval_ref"], set()).add(r["train_ref"])
+    got = {r["ref_id"]: r["n_train"] for r in overlap_counts(*t).collect()}
+    assert got == {k: len(v) for k, v in want.items()} == {6: 6, 7: 1, 8: 6, 10: 1}
 
 
 def test_survivors(spark):
