@@ -94,8 +94,11 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), "<u2").reshape(len(column), -1).astype(np.float32)
 
 
-def _parts(classes: DataFrame, unsure: int, shards: int) -> DataFrame:
-    """(shard, block, code, weak, s0, s1, class_id) of classes (class_id, thumb); one row per spelling of a passage's head."""
+def _parts(classes: DataFrame, unsure: int, shards: int, counted: bool = False) -> DataFrame:
+    """(shard, block, code, weak, s0, s1, class_id) of classes (class_id, thumb); one row per spelling of a passage's head.
+
+    With `counted`, only (shard, n): how many of these rows each shard gets, counted in every batch.
+    """
     names = ["shard", "block", "code", "weak", "s0", "s1", "class_id"]
     head = ((1 << HEAD) - 1) << (SIGNS - HEAD)
 
@@ -112,10 +115,14 @@ def _parts(classes: DataFrame, unsure: int, shards: int) -> DataFrame:
             rows, spelled = spellings(code, weak & head)
             at, block, weak = at[rows], block[rows], weak[rows] & ~head
             shard = (((spelled >> (SIGNS - HEAD)).astype(np.int64) * PASSAGES + block) * 0x9E3779B1 % (1 << 32)) % shards
+            if counted:
+                held, n = np.unique(shard, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(n.astype(np.int64))], ["shard", "n"])
+                continue
             columns = [pa.array(shard.astype(np.int32)), pa.array(block), pa.array(spelled.astype(np.int32)), pa.array(weak.astype(np.int32)), pa.array(sketch[at, 0]), pa.array(sketch[at, 1]), b.column(0).take(pa.array(at))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return classes.select("class_id", "thumb").mapInArrow(run, "shard int, block int, code int, weak int, s0 bigint, s1 bigint, class_id bigint")
+    return classes.select("class_id", "thumb").mapInArrow(run, "shard int, n bigint" if counted else "shard int, block int, code int, weak int, s0 bigint, s1 bigint, class_id bigint")
 
 
 def _text(words: np.ndarray) -> str:
@@ -167,17 +174,18 @@ def _scan(evals: pa.Table, trains: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(c.astype(np.int32) if k == 2 else c) for k, c in enumerate(columns)], schema=out)
 
 
-def _cut(evals: DataFrame, trains: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the cell (e, t) of their shard in which they meet.
+def _cut(evals: tuple[DataFrame, int], trains: tuple[DataFrame, int], shards: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides' parts with the cell (e, t) of their shard in which they meet.
 
     A shard that holds far more than SHARD_ROWS, as when very many pictures share a passage, is cut into a grid: each
     passage goes to one row of cells and each part of a text to one column, so every pair still meets exactly once and
     no task gets more than a cell. Other shards are one cell.
     """
-    count = lambda df, name: df.groupBy("shard").agg(F.ceil(F.count("*") / SHARD_ROWS).cast("int").alias(name))
+    # The parts are counted and then made again: that is cheaper than writing them.
+    count = lambda side, name: _parts(*side, shards, True).groupBy("shard").agg(F.ceil(F.sum("n") / SHARD_ROWS).cast("int").alias(name))
     grid = count(evals, "ke").join(count(trains, "kt"), "shard").filter("ke + kt > 4")
     grid = written(grid, "grid")  # at most one row per 120,000 passages; small enough to be broadcast, or joined if not
-    side = lambda df: df.join(grid, "shard", "left").withColumns({"ke": F.coalesce("ke", F.lit(1)), "kt": F.coalesce("kt", F.lit(1))})
+    side = lambda x: _parts(*x, shards).join(grid, "shard", "left").withColumns({"ke": F.coalesce("ke", F.lit(1)), "kt": F.coalesce("kt", F.lit(1))})
     own = lambda n: F.pmod(F.xxhash64("class_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     keep = ["shard", "block", "code", "weak", "s0", "s1", "class_id", "e", "t"]
@@ -191,10 +199,8 @@ def near_pairs(classes: DataFrame, least: float = SAME) -> DataFrame:
     evaluation picture's text that lies in matched passages. Pictures without contrast have no correlation and no pairs.
     """
     spark = classes.sparkSession
-    shards = max(spark.sparkContext.defaultParallelism, -(-classes.count() * PASSAGES // SHARD_ROWS))
-    evals = written(_parts(classes.filter("in_eval"), UNSURE, shards), "passages")
-    trains = written(_parts(classes.filter("in_train"), 0, shards), "parts")
-    evals_cut, trains_cut = _cut(evals, trains)
+    shards = max(spark.sparkContext.defaultParallelism, -(-classes.count() * PASSAGES * 2 // SHARD_ROWS))
+    evals_cut, trains_cut = _cut((classes.filter("in_eval"), UNSURE), (classes.filter("in_train"), 0), shards)
     by = ("shard", "e", "t")
     hits = evals_cut.groupBy(*by).cogroup(trains_cut.groupBy(*by)).applyInArrow(_scan, "eval_id bigint, train_id bigint, block int")
     # Passages do not overlap, so merged intervals are the set of blocks.
