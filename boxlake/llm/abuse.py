@@ -162,7 +162,7 @@ class Reader:
         self.longest = max(map(len, self.lexicon.tails))
         self.known: dict[str, tuple[int, tuple[str, str, float] | None] | None] = {}
         self.directed, self.sexual, self.mention, self.report = (frozenset(x) for x in (L.DIRECTED, L.SEXUAL_CUES, L.MENTION, L.REPORT))
-        self.pointing, self.kind_of, self.follows = (frozenset(x) for x in (L.POINTING, L.KIND_OF, L.FOLLOWS))
+        self.pointing, self.utter, self.kind_of, self.follows = (frozenset(x) for x in (L.POINTING, L.UTTER, L.KIND_OF, L.FOLLOWS))
         self.literal = {k: frozenset(v.split()) for k, v in L.LITERAL.items()}
 
     def read(self, token: str) -> tuple[int, tuple[str, str, float] | None] | None:
@@ -232,6 +232,8 @@ class Reader:
         if not tokens:
             return None
         tokens = self._spelled(tokens)
+        if any(c in sentence for c in MASKS + "_"):
+            tokens = [part for t in tokens for part in self._divided(t)]
         readings = [self.read(t) for t in tokens]
         held, terms = 0, []
         for i, r in enumerate(readings):
@@ -303,6 +305,13 @@ class Reader:
         beside = tokens[max(0, i - 2) : i] + tokens[j + 1 : j + 3]
         return 0.0 if mention.isdisjoint(beside) else TECHNICAL
 
+    def _divided(self, token: str) -> list[str]:
+        """The words of a token that signs join, where it has no reading as a whole."""
+        if len(token) < 2 * EDIT_FROM or self.read(token):
+            return [token]
+        parts = [p for p in re.split(r"[*#%?_]+", token) if p]
+        return parts if len(parts) > 1 and all(len(p) >= EDIT_FROM and p.isalpha() for p in parts) else [token]
+
     def _spelled(self, tokens: list[str]) -> list[str]:
         """Joins three or more single letters in a row, as in words spelled with spaces.
 
@@ -348,7 +357,8 @@ class Reader:
         if kind[0] == "i":
             you = any(m & self.lexicon.you for m in slots[max(0, i - WINDOW) : i] + slots[i + 1 : i + 1 + WINDOW])
             pointed = not self.pointing.isdisjoint(tokens[max(0, i - 2) : i]) or (i > 1 and tokens[i - 1] == "of" and tokens[i - 2] in self.kind_of)
-            speaks = you or not self.directed.isdisjoint(around) or (pointed and (not behind or behind in self.follows))
+            utter = i > 0 and tokens[i - 1] in self.utter
+            speaks = you or utter or not self.directed.isdisjoint(around) or (pointed and (not behind or behind in self.follows))
             score += DIRECT * speaks
         else:
             speaks = cues > 1

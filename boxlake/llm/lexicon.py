@@ -88,6 +88,8 @@ ALL = "all typical born always every never should alle immer todos todas siempre
 #: What addresses or points at a person around an insult.
 DIRECTED = "nobody everyone verschwinde klappe fresse callate largate lost listen shut welcher welche".split()
 POINTING = "this that another such complete total real absolute useless pathetic stupid fucking dumb lazy old ein eine kompletter totaler totale dieser diese so un una este esta ese esa".split()
+#: What only points at a person, whatever follows the insult.
+UTTER = "complete total absolute utter useless pathetic miserable worthless kompletter totaler totale absoluter".split()
 KIND_OF = "kind sort type bunch lot pack".split()
 FOLLOWS = "from like who whom whose of in on at to and or but is was has had have could should would aus von wie der die das ist hat darf kann de del como que es ha".split()
 
