@@ -162,6 +162,7 @@ class Reader:
         self.longest = max(map(len, self.lexicon.tails))
         self.known: dict[str, tuple[int, tuple[str, str, float] | None] | None] = {}
         self.directed, self.sexual, self.mention, self.report = (frozenset(x) for x in (L.DIRECTED, L.SEXUAL_CUES, L.MENTION, L.REPORT))
+        self.mention_of_frame = frozenset(L.MENTION_OF_FRAME)
         self.pointing, self.utter, self.kind_of, self.follows = (frozenset(x) for x in (L.POINTING, L.UTTER, L.KIND_OF, L.FOLLOWS))
         self.literal = {k: frozenset(v.split()) for k, v in L.LITERAL.items()}
 
@@ -256,7 +257,7 @@ class Reader:
             if kind == "group":
                 people = True
                 continue
-            score = FRAME + 0.1 * bool(held & lex.you) + self._lowered(tokens, i, j, quoted, self.mention if kind in ("insult", "sexual") else frozenset())
+            score = FRAME + 0.1 * bool(held & lex.you) + self._lowered(tokens, i, j, quoted, self.mention_of_frame)
             best = max(best, (max(0.0, score), kind))
         if people and degrading:
             best = max(best, (self._degraded(tokens, slots, held, quoted), "hate"))

@@ -103,6 +103,8 @@ geil klick drauf schick gratis noche entra caliente cachonda desnuda manda manda
 MENTION = """
 name names named label labelled labeled filter filtered removed word words term terms called quote quoted quotes quoting flagged blocked script file begriff wort genannt heisst palabra termino llamado llamada
 """.split()
+#: The same around a frame, which technical words beside it do not make harmless.
+MENTION_OF_FRAME = "word words term terms phrase phrases quote quoted called begriff wort genannt palabra termino frase".split()
 REPORT = """
 said says say wrote writes wrote called reported reports flagged quote quoted quotes quoting comment comments message messages post posted phrase phrases sentence example sagte schrieb gemeldet zitat satz dijo escribio frase ejemplo mensaje
 """.split()
