@@ -20,6 +20,7 @@ def parser() -> argparse.ArgumentParser:
     m.add_argument("--input-root", required=True)
     m.add_argument("--output", required=True)
     m.add_argument("--force", action="store_true")
+    m.add_argument("--hashing", choices=("sha2", "blake2b"), default="sha2")
     e = sub.add_parser("evaluate", help="score predictions against a converted table")
     e.add_argument("rows")
     e.add_argument("predictions", help="Parquet of image_id, predictions")
@@ -41,39 +42,40 @@ def _session():
     return SparkSession.builder.appName("boxlake").getOrCreate()
 
 
-def merge(spark, root: str, output: str, force: bool) -> dict:
+def merge(spark, root: str, output: str, force: bool, hashing: str = "sha2") -> dict:
     """Merges root/<source>/<split> of all sources, checks the result and writes it with its manifest."""
     from pyspark.sql import functions as F
 
     from boxlake.operators import merge as M
     from boxlake.operators.splits import dense_number
-    from boxlake.runtime import written
+    from boxlake.runtime import cleanup, written
     from boxlake.schema import SOURCES
     from boxlake.sources.readers import load_canonical
 
     folders = {s: f"{root.rstrip('/')}/{s}" for s in SOURCES}
     rows = None
-    for folder in folders.values():
-        part = load_canonical(spark, folder)
+    for source, folder in folders.items():
+        part = load_canonical(spark, folder, dataset=source, position="position")
         rows = part if rows is None else rows.unionByName(part)
-    keyed = dense_number(rows.withColumn("__o", M.stable_order(F.col("dataset"), F.col("split"), F.lit(0), F.col("image_id"))), "__o", "ref_id").drop("__o")
-    keyed = written(keyed.withColumn("index", F.col("ref_id")), "merge-rows")
-    refs = M.row_refs(keyed).join(keyed.select("ref_id", "image_id", "dataset", "split"), ["image_id", "dataset", "split"])
-    linked = written(M.lineage(refs), "merge-refs")
-    plan = written(M.plan_merge(linked), "merge-plan")
-    text = M.manifest(keyed, linked, plan)
-
-    def check(df) -> None:
-        if bad := M.violations(df).limit(20).collect():
-            raise ValueError("; ".join(f"{r['check']}: {r['key']}" for r in bad))
-
-    M.publish(M.build_output(keyed.drop("index"), linked, plan), output, tuple(folders.values()), force, check)
-    manifest = json.loads(text)
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{output}/_manifest.json")
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
-    out.write(bytearray(text.encode()))
-    out.close()
-    return manifest
+    try:
+        order = M.stable_order(F.col("dataset"), F.col("split"), F.col("position"), F.col("image_id"))
+        keyed = dense_number(rows.withColumn("__o", order), "__o", "ref_id").drop("__o", "position")
+        keyed = written(keyed.withColumn("index", F.col("ref_id")), "merge-rows")
+        linked = written(M.lineage(written(M.row_refs(keyed, hashing=hashing), "merge-refs")), "merge-linked")
+        plan = written(M.plan_merge(linked), "merge-plan")
+        merged = written(M.build_output(keyed.drop("index"), linked, plan, hashing=hashing), "merged")
+        text = M.manifest(keyed, linked, plan, merged)
+
+        def check(df) -> None:
+            if bad := M.violations(df).limit(20).collect():
+                raise ValueError("; ".join(f"{r['check']}: {r['key']}" for r in bad))
+            if (n := df.count()) != json.loads(text)["output"]["rows"]:
+                raise ValueError(f"{n} rows were written, the manifest has {json.loads(text)['output']['rows']}")
+
+        M.publish(merged.drop("donor_annotation_hash"), output, tuple(folders.values()), force, check, {"_manifest.json": text})
+    finally:
+        cleanup(spark)
+    return json.loads(text)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -94,7 +96,7 @@ def main(argv: list[str] | None = None) -> int:
 
         print(json.dumps(convert(spark, load(a.config), a.output, a.split, a.force, a.rows_per_file), indent=2))
     elif a.command == "merge":
-        print(json.dumps(merge(spark, a.input_root, a.output, a.force)["output"], indent=2))
+        print(json.dumps(merge(spark, a.input_root, a.output, a.force, a.hashing)["output"], indent=2))
     else:
         from pyspark.sql import functions as F
 

@@ -9,7 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.functions.digests import annotations_blake2b, blake2b
+from boxlake.functions.objects import json_object, object_text, updated
 from boxlake.operators.components import min_label_components
+from boxlake.operators.splits import dense_number
 from boxlake.runtime import written
 from boxlake.schema import FINAL_CLASSES, HAZY_PAIR, SOURCES, SPLIT_PRIORITY, SPLITS
 
@@ -73,13 +76,21 @@ def annotation_hash(objects: Column) -> Column:
     return F.sha2(F.to_json(parts).cast("binary"), 256)
 
 
-def row_refs(rows: DataFrame, strict: bool = True) -> DataFrame:
-    """Slim descriptors of canonical rows (with a position `index`), one per row; the pixels are read for their hash only."""
+def row_refs(rows: DataFrame, strict: bool = True, hashing: str = "sha2") -> DataFrame:
+    """Slim descriptors of canonical rows (with a position `index`), one per row; the pixels are read for their hash only.
+
+    A ref_id of the rows is kept. hashing: 'sha2', computed inside the JVM, or 'blake2b' where hashes must equal those
+    of tables made elsewhere.
+    """
+    if hashing not in ("sha2", "blake2b"):
+        raise ValueError(f"unknown hashing {hashing!r}")
     kept = retained_objects(rows, strict)
     meta = F.get_json_object("meta_json", "$.source_image_id")
+    content = F.sha2("image.bytes", 256) if hashing == "sha2" else blake2b(F.col("image.bytes"), 32)
+    annotations = annotation_hash(F.col("objects")) if hashing == "sha2" else annotations_blake2b(F.col("objects"))
     return kept.select(
-        "dataset", "split", "index", "image_id", "width", "height", F.sha2("image.bytes", 256).alias("content_hash"), meta.alias("source_image_id"),
-        F.size("objects").alias("object_count"), class_counts(F.col("objects")).alias("class_counts"), annotation_hash(F.col("objects")).alias("annotation_hash"), "total", "ignored", "excluded",
+        *[c for c in ("ref_id",) if c in rows.columns], "dataset", "split", "index", "image_id", "width", "height", content.alias("content_hash"), meta.alias("source_image_id"),
+        F.size("objects").alias("object_count"), class_counts(F.col("objects")).alias("class_counts"), annotations.alias("annotation_hash"), "total", "ignored", "excluded",
     )
 
 
@@ -137,7 +148,9 @@ def plan_merge(refs: DataFrame, node: str = "ref_id", strict: bool = True) -> Da
     summary = summary.filter("donor_objects > 0")
     order = stable_order(F.col("dataset"), F.col("split"), F.col("index"), F.col("image_id"), F.col(node).alias("e"))
     held = refs.join(summary, "component").filter("split = protected_split")
-    same = held.groupBy("component", "content_hash").agg(F.min(order).alias("r"), F.count("*").alias("n_same"))
+    # Records without a hash are each a content of their own.
+    content = F.coalesce("content_hash", F.concat(F.lit("ref:"), F.col(node).cast("string"))).alias("content")
+    same = held.groupBy("component", content).agg(F.min(order).alias("r"), F.count("*").alias("n_same"))
     return same.join(summary, "component").select(F.col("r.e").alias("representative_id"), "donor_id", "component", "n_members", "n_same")
 
 
@@ -173,30 +186,40 @@ def left_out(refs: DataFrame, node: str = "ref_id") -> DataFrame:
     return held.groupBy("component").agg(F.count("*").alias("n_members"), n.alias("n_left_out"))
 
 
-def lineage_ids(refs: DataFrame) -> DataFrame:
-    """(component, lineage_id): a hash over a component's records in stable order.
-
-    The list of a component's records is also part of the output rows' provenance, so its length is the output's own.
-    """
-    name = F.concat_ws("|", "dataset", "split", "image_id", F.coalesce("content_hash", F.lit("")))
+def _records(refs: DataFrame) -> DataFrame:
+    """(component, records): a component's records in stable order; the list is part of the output rows' provenance."""
     order = stable_order(F.col("dataset"), F.col("split"), F.col("index"), F.col("image_id"))
-    held = F.array_sort(F.collect_list(F.struct(order.alias("o"), name.alias("name"))))
-    return refs.groupBy("component").agg(F.sha2(F.array_join(F.transform(held, lambda m: m["name"]), "\n").cast("binary"), 256).alias("lineage_id"))
+    record = F.struct("dataset", "split", "image_id", "content_hash")
+    return refs.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), record.alias("r")))), lambda m: m["r"]).alias("records"))
+
+
+def lineage_ids(refs: DataFrame, hashing: str = "sha2") -> DataFrame:
+    """(component, lineage_id): a hash over a component's records in stable order."""
+    return _records(refs).select("component", _lineage_id(hashing).alias("lineage_id"))
+
 
+def _lineage_id(hashing: str) -> Column:
+    names = F.transform("records", lambda r: F.concat_ws("|", r["dataset"], r["split"], r["image_id"], F.coalesce(r["content_hash"], F.lit(""))))
+    text = F.array_join(names, "\n")
+    return F.sha2(text.cast("binary"), 256) if hashing == "sha2" else blake2b(text, 16)
 
-def build_output(rows: DataFrame, refs: DataFrame, plan: DataFrame, strict: bool = True) -> DataFrame:
+
+def build_output(rows: DataFrame, refs: DataFrame, plan: DataFrame, strict: bool = True, hashing: str = "sha2") -> DataFrame:
     """The merged canonical rows: the representative's picture and fields, the donor's objects, provenance in meta_json.
 
-    rows: canonical rows with ref_id; refs: output of lineage(). Pixels are joined once, at the end.
+    rows: canonical rows with ref_id; refs: output of lineage(). Pixels are joined once, at the end. Besides the canonical
+    columns there are lineage_id, content_hash, donor_annotation_hash and output_order, the representative's place in
+    the stable order. JSON that is no object raises (strict) or counts as an empty one; existing keys are replaced, keys
+    are sorted.
     """
-    ids = lineage_ids(refs)
-    order = stable_order(F.col("dataset"), F.col("split"), F.col("index"), F.col("image_id"))
-    record = F.struct("dataset", "split", "image_id", "content_hash")
-    members = refs.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct(order.alias("o"), record.alias("r")))), lambda m: m["r"]).alias("records"))
     donors = retained_objects(rows, strict).select(F.col("ref_id").alias("donor_id"), "objects", F.struct("dataset", "image_id", "split").alias("source"))
-    planned = plan.join(members, "component").join(ids, "component").join(donors, "donor_id")
-    hashes = refs.select(F.col("ref_id").alias("representative_id"), "content_hash")
-    out = rows.drop("objects").withColumnRenamed("ref_id", "representative_id").join(planned, "representative_id").join(hashes, "representative_id")
+    notes = refs.select(F.col("ref_id").alias("donor_id"), F.col("annotation_hash").alias("donor_annotation_hash"), F.col("object_count").alias("donor_count"))
+    planned = plan.join(_records(refs).withColumn("lineage_id", _lineage_id(hashing)), "component").join(donors, "donor_id").join(notes, "donor_id")
+    if strict:
+        drift = F.raise_error(F.concat(F.lit("annotation count changed while reading "), F.col("source.image_id"))).cast("bigint")
+        planned = planned.withColumn("donor_id", F.when(F.size("objects") != F.col("donor_count"), drift).otherwise(F.col("donor_id")))
+    own = refs.select(F.col("ref_id").alias("representative_id"), "content_hash", stable_order(F.col("dataset"), F.col("split"), F.col("index"), F.col("image_id")).alias("output_order"))
+    out = rows.drop("objects").withColumnRenamed("ref_id", "representative_id").join(planned, "representative_id").join(own, "representative_id")
     text = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
     quoted = lambda c: F.substring(F.to_json(F.array(c)), F.lit(2), F.length(F.to_json(F.array(c))) - 2)
     datasets = F.transform(F.array_sort(F.transform(F.array_distinct(F.transform("records", lambda r: r["dataset"])), lambda d: F.struct(rank_of(d, SOURCES).alias("k"), d.alias("d")))), lambda x: x["d"])
@@ -204,21 +227,27 @@ def build_output(rows: DataFrame, refs: DataFrame, plan: DataFrame, strict: bool
         "merge_annotation_source": text(F.col("source")), "merge_content_hash": quoted(F.col("content_hash")), "merge_lineage_id": quoted(F.col("lineage_id")), "merge_original_split": quoted(F.col("split")),
         "merge_source_datasets": F.to_json(datasets), "merge_source_records": text(F.col("records")),
     }
-    base = F.coalesce(F.nullif(F.trim("meta_json"), F.lit("")), F.lit("{}"))
-    body = F.regexp_replace(base, r"^\s*\{\s*|\s*\}\s*$", "")
-    parts = F.array_join(F.array(*[F.concat(F.lit(f'"{k}":'), v) for k, v in added.items()]), ",")
-    meta = F.concat(F.lit("{"), F.when(body != "", F.concat(body, F.lit(","))).otherwise(F.lit("")), parts, F.lit("}"))
-    objects = F.transform("objects", lambda o: o.withField("meta_json", F.concat(F.lit('{"merge_annotation_source":'), text(F.col("source")), F.when(F.coalesce(F.regexp_replace(o["meta_json"], r"^\s*\{\s*|\s*\}\s*$", ""), F.lit("")) != "", F.concat(F.lit(","), F.regexp_replace(o["meta_json"], r"^\s*\{\s*|\s*\}\s*$", ""))).otherwise(F.lit("")), F.lit("}"))))
-    return out.select("image", "image_id", "dataset", "split", "image_path", "width", "height", "condition", "domain", "is_synthetic", objects.alias("objects"), meta.alias("meta_json"), "lineage_id", "content_hash")
+    meta = object_text(updated(json_object(F.col("meta_json"), strict, F.col("image_id")), added))
+    objects = F.transform("objects", lambda o: o.withField("meta_json", object_text(updated(json_object(o["meta_json"], strict, F.col("image_id")), {"merge_annotation_source": text(F.col("source"))}))))
+    return out.select("image", "image_id", "dataset", "split", "image_path", "width", "height", "condition", "domain", "is_synthetic", objects.alias("objects"), meta.alias("meta_json"), "lineage_id", "content_hash", "donor_annotation_hash", "output_order")
 
 
-def order_fingerprint(rows: DataFrame, number: str, text: Column) -> DataFrame:
-    """(n_rows, fingerprint): changes with any row and with the order, which `number` (part of `text`) tells.
+def record_order_hashes(merged: DataFrame) -> DataFrame:
+    """(split, n_rows, fingerprint) of build_output()'s rows in their order: what is in the output, and in which order."""
+    numbered = dense_number(merged.select("split", "image_id", "content_hash", "lineage_id", "donor_annotation_hash", F.struct("split", "output_order").alias("o")), "o", "n")
+    first = numbered.groupBy("split").agg(F.min("n").alias("first"))  # one row per split
+    text = F.concat_ws("|", (F.col("n") - F.col("first")).cast("string"), F.coalesce("content_hash", F.lit("")), "image_id", "lineage_id", F.coalesce("donor_annotation_hash", F.lit("")))
+    rows = numbered.join(first, "split").select("split", "n", text.alias("text"))
+    return order_fingerprint(rows, "n", F.col("text"), ("split",))
+
+
+def order_fingerprint(rows: DataFrame, number: str, text: Column, by: tuple[str, ...] = ()) -> DataFrame:
+    """(*by, n_rows, fingerprint): changes with any row and with the order, which `number` (part of `text`) tells.
 
     A sum of hashes of numbered rows, so that no task needs to see all rows in order.
     """
     value = F.conv(F.substring(F.sha2(text.cast("binary"), 256), 1, 12), 16, 10).cast("decimal(38,0)")
-    return rows.agg(F.count(number).alias("n_rows"), F.sum(value).alias("fingerprint"))
+    return rows.groupBy(*by).agg(F.count(number).alias("n_rows"), F.sum(value).alias("fingerprint"))
 
 
 def scan_stats(rows: DataFrame) -> DataFrame:
@@ -245,8 +274,11 @@ def source_metadata(rows: DataFrame) -> DataFrame:
     return m.groupBy("dataset", "key").agg(F.array_sort(F.collect_list("value")).alias("values"))
 
 
-def manifest(rows: DataFrame, refs: DataFrame, plan: DataFrame) -> str:
-    """The merge's manifest as JSON text. Everything collected is one row per source, label or split."""
+def manifest(rows: DataFrame, refs: DataFrame, plan: DataFrame, merged: DataFrame | None = None) -> str:
+    """The merge's manifest as JSON text. Everything collected is one row per source, label or split.
+
+    merged: build_output()'s rows, whose order the manifest then holds as record_order_hashes.
+    """
     stats = {r["dataset"]: r.asDict() for r in scan_stats(rows).collect()}
     labels = [r.asDict() for r in label_histogram(rows).collect()]
     meta = source_metadata(rows).collect()
@@ -280,6 +312,9 @@ def manifest(rows: DataFrame, refs: DataFrame, plan: DataFrame) -> str:
         "deduplication": {k: v for k, v in counters.items() if v or k in ("output_rows", "lineage_components", "multi_record_components", "exact_duplicate_groups", "cross_dataset_exact_duplicate_groups", "cross_split_exact_duplicate_groups")},
         "output": {"rows": counters["output_rows"], "objects": sum(classes.values()), "splits": {s: splits.get(s, 0) for s in SPLITS}, "representative_datasets": {n: datasets.get(n, 0) for n in SOURCES}, "class_counts": {c: classes.get(c, 0) for c in FINAL_CLASSES}},
     }
+    if merged is not None:
+        held = {r["split"]: format(int(r["fingerprint"]), "x") for r in record_order_hashes(merged).collect()}
+        out["output"]["record_order_hashes"] = {x: held.get(x, "0") for x in SPLITS}
     return json.dumps(out, indent=2) + "\n"
 
 
@@ -309,10 +344,12 @@ def violations(merged: DataFrame) -> DataFrame:
     return out
 
 
-def publish(df: DataFrame, output: str, sources: tuple[str, ...] = (), force: bool = False, check=None) -> None:
-    """Writes df (partitioned by split) beside `output`, re-reads and checks it, then puts it in place by renaming.
+def publish(df: DataFrame, output: str, sources: tuple[str, ...] = (), force: bool = False, check=None, files: dict[str, str] | None = None) -> None:
+    """Writes df (partitioned by split, in its output_order) beside `output`, re-reads and checks it, then swaps it in.
 
-    The output may not be, hold or lie in a source. It is only replaced with force; a failed check leaves it untouched.
+    files: further small files by name, such as the manifest; they are in the folder before the swap. The output may not
+    be, hold or lie in a source. It is only replaced with force; the old output stays until the new one is in place and
+    comes back if that fails, and a failed check leaves it untouched.
     """
     spark = df.sparkSession
     path = lambda p: spark._jvm.org.apache.hadoop.fs.Path(p)
@@ -324,15 +361,26 @@ def publish(df: DataFrame, output: str, sources: tuple[str, ...] = (), force: bo
     if fs.exists(path(output)) and not force:
         raise FileExistsError(f"{output} exists; use force to replace it")
     parent, _, name = output.rstrip("/").rpartition("/")
-    build = f"{parent}/.{name}.build-{uuid.uuid4().hex}"
+    build, old = f"{parent}/.{name}.build-{uuid.uuid4().hex}", f"{parent}/.{name}.old-{uuid.uuid4().hex}"
     try:
+        if "output_order" in df.columns:
+            df = df.repartitionByRange("split", "output_order").sortWithinPartitions("split", "output_order").drop("output_order")
         df.write.partitionBy("split").parquet(build)
         if check is not None:
             check(spark.read.parquet(build))
-        if fs.exists(path(output)):
-            fs.delete(path(output), True)
+        for file, text in (files or {}).items():
+            out = fs.create(path(f"{build}/{file}"), True)
+            out.write(bytearray(text.encode()))
+            out.close()
+        replaced = fs.exists(path(output))
+        if replaced and not fs.rename(path(output), path(old)):
+            raise OSError(f"cannot move {output} aside")
         if not fs.rename(path(build), path(output)):
+            if replaced:
+                fs.rename(path(old), path(output))
             raise OSError(f"cannot move {build} to {output}")
+        if replaced:
+            fs.delete(path(old), True)
     finally:
         if fs.exists(path(build)):
             fs.delete(path(build), True)

@@ -68,7 +68,7 @@ def donor(spark, folder):
     return M.components_summary(_linked(spark, folder)).select("component", "donor_id", "n_members", F.col("protected_split").isNotNull().alias("known_split"), "mismatched")
 
 
-_PLAN_SQL = "plan as (select arg_min(ref_id, o) representative_id, donor donor_id, component, n n_members, count(*) n_same from full_ where not mismatched and coalesce(dn,0) > 0 and split = ps group by component, h, donor, n)"
+_PLAN_SQL = "plan as (select arg_min(ref_id, o) representative_id, donor donor_id, component, n n_members, count(*) n_same from full_ where not mismatched and coalesce(dn,0) > 0 and split = ps group by component, coalesce(h, 'ref:' || ref_id), donor, n)"
 
 
 @query("w5_merge_plan", f"with recursive {COMP_SQL}, {_PLAN_SQL} select * from plan")

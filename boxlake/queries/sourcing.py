@@ -23,26 +23,33 @@ def _code(lab):
     return F.when(lab == "AF", 0).when(lab == "NF", 1).when(lab == "NO", 2).otherwise(9)
 
 
-def _raised(df):
-    """Statistics of raw objects as rows (label, known, ignore, n, sums of the box)."""
-    r = df.filter("r is not null").select("r.*")
-    return r.groupBy("label", "known", "ignore").agg(F.count("*").alias("n"), *[F.round(F.sum(f"b.{c}"), 3).alias(f"s{c}") for c in "xywh"])
+KEYS = ("k", "ln", "pk", "sk")
 
 
-@query("src6_visdrone", f"""with {BRIDGE}, l as (select x, y, w, h, ln % 2 score, pk % 13 code, ln from o where ln % 7 <> 0)
-select case code when 0 then 'ignored_region' when 1 then 'pedestrian' when 2 then 'people' when 3 then 'bicycle' when 4 then 'car' when 5 then 'van' when 6 then 'truck' when 7 then 'tricycle' when 8 then 'awning-tricycle' when 9 then 'bus' when 10 then 'motor' else 'others' end as "label",
- true known, score = 0 or code in (0, 11) "ignore", count(*) n, round(sum(x),3) sx, round(sum(y),3) sy, round(sum(w),3) sw, round(sum(h),3) sh from l where code <= 11 group by 1, 2, 3""")
+def _rows(df, *keys):
+    """Raw objects as rows: the keys and every field; boxes rounded to 6 places."""
+    r = df.filter("r is not null")
+    return r.select(*keys, "r.label", "r.label_id", "r.known", "r.ignore", "r.iscrowd", *[F.round(f"r.b.{c}", 6).alias(c) for c in "xywh"], "r.meta_json")
+
+
+_BOX = "round(x,6) x, round(y,6) y, round(w,6) w, round(h,6) h"
+
+
+@query("src6_visdrone", f"""with {BRIDGE}, l as (select *, ln % 2 score, pk % 13 code from o where ln % 7 <> 0)
+select k, ln, pk, sk, case code when 0 then 'ignored_region' when 1 then 'pedestrian' when 2 then 'people' when 3 then 'bicycle' when 4 then 'car' when 5 then 'van' when 6 then 'truck' when 7 then 'tricycle' when 8 then 'awning-tricycle' when 9 then 'bus' when 10 then 'motor' else 'others' end as "label",
+ code::varchar label_id, true known, score = 0 or code in (0, 11) "ignore", false iscrowd, {_BOX}, '{{"occlusion":0,"score":'||score||',"source_line_number":'||ln||',"truncation":1}}' meta_json from l where code <= 11""")
 def visdrone(spark, folder):
     """SRC-6: VisDrone lines; a seventh of them has a field too few, class 12 is unknown."""
     b = bridge(spark, folder)
     cut = F.when(F.col("ln") % 7 == 0, F.lit("")).otherwise(F.lit(",0"))
     line = F.concat(F.concat_ws(",", "b.x", "b.y", "b.w", "b.h", F.col("ln") % 2, F.col("pk") % 13, F.lit("1")), cut)
-    return _raised(b.select(X.visdrone_line(line).alias("r")))
+    return _rows(b.select(*KEYS, X.visdrone_line(line, F.col("ln")).alias("r")), *KEYS)
 
 
-@query("src8_yolo", f"""with {BRIDGE}, l as (select iw, ih, x, y, w, h, lab, {_ID} code, ln from i join o using (k))
-select case when code = 9 then '9' else lab end "label", code <> 9 known, false "ignore", count(*) n, round(sum(case when code <> 9 then x end),3) sx, round(sum(case when code <> 9 then y end),3) sy, round(sum(case when code <> 9 then w end),3) sw, round(sum(case when code <> 9 then h end),3) sh
-from l where code = 9 or ln % 5 <> 0 group by 1, 2""")
+@query("src8_yolo", f"""with {BRIDGE}, l as (select o.*, {_ID} code from i join o using (k))
+select k, ln, pk, sk, case when code = 9 then '9' else lab end "label", code::varchar label_id, code <> 9 known, false "ignore", false iscrowd, round(case when code <> 9 then x end,6) x, round(case when code <> 9 then y end,6) y, round(case when code <> 9 then w end,6) w, round(case when code <> 9 then h end,6) h,
+ case when code = 9 then '{{}}' else '{{"source_line_number":'||ln||',"source_shape":"'||case when w >= 0 and h >= 0 and ln % 2 = 0 then 'polygon' else 'bbox' end||'"}}' end meta_json
+from l where code = 9 or ln % 5 <> 0""")
 def yolo(spark, folder):
     """SRC-7 to SRC-9: YOLO boxes and polygons; a fifth of the lines has an unreadable coordinate."""
     b = bridge(spark, folder)
@@ -53,58 +60,68 @@ def yolo(spark, folder):
     turned = F.when((w < 0) | (h < 0), plain).otherwise(F.when(F.col("ln") % 2 == 0, shape).otherwise(plain))
     body = F.when(F.col("ln") % 5 == 0, F.concat(plain, F.lit("x"))).otherwise(turned)
     line = F.concat_ws(" ", _code(F.col("lab")), body)
-    return _raised(b.select(X.yolo_line(line, F.col("iw"), F.col("ih"), NAMES).alias("r")))
+    return _rows(b.select(*KEYS, X.yolo_line(line, F.col("iw"), F.col("ih"), NAMES, F.col("ln")).alias("r")), *KEYS)
 
 
-@query("src10_exdark", f"""with {BRIDGE}, l as (select x, y, w, h, pk % 14 code, ln from o where ln % 6 <> 0)
-select case code when 1 then 'Bicycle' when 2 then 'Boat' when 3 then 'Bottle' when 4 then 'Bus' when 5 then 'Car' when 6 then 'Cat' when 7 then 'Chair' when 8 then 'Cup' when 9 then 'Dog' when 10 then 'Motorbike' when 11 then 'People' when 12 then 'Table' else 'Lamp' end "label",
- code between 1 and 12 known, false "ignore", count(*) n, round(sum(x),3) sx, round(sum(y),3) sy, round(sum(w),3) sw, round(sum(h),3) sh from l group by 1, 2""")
+@query("src10_exdark", f"""with {BRIDGE}, l as (select *, pk % 14 code from o where ln % 6 <> 0)
+select k, ln, pk, sk, case code when 1 then 'Bicycle' when 2 then 'Boat' when 3 then 'Bottle' when 4 then 'Bus' when 5 then 'Car' when 6 then 'Cat' when 7 then 'Chair' when 8 then 'Cup' when 9 then 'Dog' when 10 then 'Motorbike' when 11 then 'People' when 12 then 'Table' else 'Lamp' end "label",
+ case when code between 1 and 12 then code::varchar end label_id, code between 1 and 12 known, false "ignore", false iscrowd, case when code between 1 and 12 then round(x,6) end x, case when code between 1 and 12 then round(y,6) end y, case when code between 1 and 12 then round(w,6) end w, case when code between 1 and 12 then round(h,6) end h,
+ case when code between 1 and 12 then '{{"source_line_number":'||ln||'}}' else '{{}}' end meta_json from l""")
 def exdark(spark, folder):
     """SRC-10: ExDark lines; a sixth of them is a comment."""
     b = bridge(spark, folder)
     name = F.coalesce(X.lookup((F.col("pk") % 14).cast("int"), X.EXDARK_CLASSES), F.lit("Lamp"))
     line = F.concat(F.when(F.col("ln") % 6 == 0, "% ").otherwise(""), F.concat_ws(" ", name, "b.x", "b.y", "b.w", "b.h", F.lit("0"), F.lit("0")))
-    return _raised(b.select(X.exdark_line(line).alias("r")))
+    return _rows(b.select(*KEYS, X.exdark_line(line, F.col("ln")).alias("r")), *KEYS)
 
 
-@query("src2_coco", f"""with {BRIDGE} select k::varchar image_id, count(*) n, round(sum(x),3) sx, round(sum(w),3) sw, count(*) filter (lab = 'NO') n_no from o group by k""")
+_SHARD = 256  # documents that the derived rows are written into; each is a bounded file
+
+
+@query("src2_coco", f"""with {BRIDGE} select k::varchar image_id, k||'-'||ln||'-'||pk||'-'||sk note, case when {_ID} = 9 then 'other' else lab end "label", ({_ID})::varchar label_id, true known, ln % 11 = 0 "ignore", ln % 13 = 0 iscrowd, {_BOX},
+ '{{"source_annotation_id":"'||k||'-'||ln||'-'||pk||'-'||sk||'","source_area":'||case when ln % 2 = 0 then 'null' else ln||'.0' end||'}}' meta_json from o join i using (k)""")
 def coco(spark, folder):
-    """SRC-2, J-1, J-2: COCO documents (one per split) read into tables and joined by string ids."""
+    """SRC-2, J-1, J-2: COCO documents read into tables and joined by string ids; every object with its fields."""
     b = bridge(spark, folder)
-    notes = F.collect_list(F.struct(F.concat_ws("-", "k", "ln", "pk", "sk").alias("id"), F.col("k").alias("image_id"), _code(F.col("lab")).alias("category_id"), G.xywh(F.col("b")).alias("bbox")))
-    doc = b.groupBy("split").agg(F.collect_set(F.struct(F.col("k").alias("id"), F.concat(F.lit("i/"), F.col("k"), F.lit(".png")).alias("file_name"), F.col("iw").alias("width"), F.col("ih").alias("height"))).alias("images"), notes.alias("annotations"))
+    area = F.when(F.col("ln") % 2 == 1, F.col("ln").cast("double"))
+    note = F.struct(F.concat_ws("-", *KEYS).alias("id"), F.col("k").alias("image_id"), _code(F.col("lab")).alias("category_id"), G.xywh(F.col("b")).alias("bbox"), area.alias("area"), (F.col("ln") % 13 == 0).cast("int").alias("iscrowd"), (F.col("ln") % 11 == 0).alias("ignore"))
+    own = b.groupBy("k", "iw", "ih").agg(F.collect_list(note).alias("notes"))
+    picture = F.struct(F.col("k").alias("id"), F.concat(F.lit("i/"), "k", F.lit(".png")).alias("file_name"), F.col("iw").alias("width"), F.col("ih").alias("height"))
+    doc = own.groupBy((F.col("k") % _SHARD).alias("s")).agg(F.collect_list(picture).alias("images"), F.flatten(F.collect_list("notes")).alias("annotations"))
     cats = F.array(*[F.struct(F.lit(k).alias("id"), F.lit(v).alias("name")) for k, v in {**NAMES, 9: "other"}.items()])
     doc = doc.select(F.to_json(F.struct("images", "annotations", cats.alias("categories"))).alias("value"))
-    images, notes, cats = X.coco_tables(doc)
+    images, notes, cats = X.coco_tables(X.document_elements(doc))
     o = images.select(F.col("id").alias("image_id")).join(X.coco_objects(notes, cats), "image_id", "left")
-    r = o.select("image_id", F.explode("raw").alias("r"))
-    return r.groupBy("image_id").agg(F.count("*").alias("n"), F.round(F.sum("r.b.x"), 3).alias("sx"), F.round(F.sum("r.b.w"), 3).alias("sw"), F.count_if(F.col("r.label") == "NO").alias("n_no"))
+    return _rows(o.select("image_id", F.explode("raw").alias("r")).withColumn("note", F.get_json_object("r.meta_json", "$.source_annotation_id")), "image_id", "note")
 
 
-@query("src4_scalabel", f"with {BRIDGE} select k::varchar||'.jpg' source_id, any_value(case when cond = 'rain' then null else cond end) condition, count(*) filter (ln % 4 <> 0) n, round(sum(case when ln % 4 <> 0 then x end),3) sx, round(sum(case when ln % 4 <> 0 then w end),3) sw from i join o using (k) group by k having count(*) filter (ln % 4 <> 0) > 0")
+@query("src4_scalabel", f"""with {BRIDGE} select k::varchar||'.jpg' source_id, nullif(cond, 'rain') condition, ln||'-'||pk||'-'||sk label_id, lab "label", true known, false "ignore", false iscrowd, {_BOX},
+ '{{"attributes":"{{}}","manual_attributes":null,"manual_shape":'||(ln % 2 = 0)||'}}' meta_json, '{{"scene":null,"source_annotation_format":"bdd100k_scalabel","source_file_name":"'||k||'.jpg","timeofday":"'||split||'","timestamp":'||k||'}}' frame_meta from i join o using (k) where ln % 4 <> 0""")
 def scalabel(spark, folder):
-    """SRC-4: Scalabel lists; a quarter of the labels has no box."""
+    """SRC-4: Scalabel lists; a quarter of the labels has no box; every object with its fields."""
     b = bridge(spark, folder)
     x, y, w, h = (F.col(f"b.{c}") for c in "xywh")
     box = F.when(F.col("ln") % 4 != 0, F.struct(x.alias("x1"), y.alias("y1"), (x + w).alias("x2"), (y + h).alias("y2")))
-    frames = b.groupBy("k", "cond", "split").agg(F.collect_list(F.struct(F.col("ln").alias("id"), F.col("lab").alias("category"), box.alias("box2d"))).alias("labels"))
-    frame = F.struct(F.concat("k", F.lit(".jpg")).alias("name"), F.struct(F.when(F.col("cond") != "rain", F.col("cond")).alias("weather")).alias("attributes"), "labels")
-    doc = frames.groupBy("split").agg(F.to_json(F.collect_list(frame)).alias("value"))
-    f = X.scalabel_frames(doc).select("source_id", "condition", F.explode("raw").alias("r"))
-    return f.groupBy("source_id", "condition").agg(F.count("*").alias("n"), F.round(F.sum("r.b.x"), 3).alias("sx"), F.round(F.sum("r.b.w"), 3).alias("sw"))
+    one = F.struct(F.concat_ws("-", "ln", "pk", "sk").alias("id"), F.col("lab").alias("category"), (F.col("ln") % 2 == 0).alias("manualShape"), box.alias("box2d"))
+    frames = b.groupBy("k", "cond", "split").agg(F.collect_list(one).alias("labels"))
+    attributes = F.struct(F.when(F.col("cond") != "rain", F.col("cond")).alias("weather"), F.col("split").alias("timeofday"))
+    frame = F.to_json(F.struct(F.concat("k", F.lit(".jpg")).alias("name"), F.col("k").alias("timestamp"), attributes.alias("attributes"), "labels"))
+    f = X.scalabel_frames(frames.select(F.lit("").alias("list"), F.col("k").alias("pos"), frame.alias("value")))
+    return _rows(f.select("source_id", "condition", F.col("meta_json").alias("frame_meta"), F.explode("raw").alias("r")), "source_id", "condition", "frame_meta")
 
 
-@query("src5_voc", f"with {BRIDGE} select k::varchar||'.png' filename, count(*) n, count(*) filter (ln % 3 = 0) n_difficult, round(sum(x-1),3) sx, round(sum(w+1),3) sw from o group by k")
+@query("src5_voc", f"""with {BRIDGE} select k::varchar||'.png' filename, lab "label", null::varchar label_id, true known, ln % 3 = 0 "ignore", false iscrowd, round(x-1,6) x, round(y-1,6) y, round(w+1,6) w, round(h+1,6) h, '{{"pose":"'||ln||'-'||pk||'-'||sk||'","truncated":'||(ln % 2 = 1)||'}}' meta_json from o""")
 def voc(spark, folder):
-    """SRC-5: VOC documents; inclusive corners counted from 1."""
+    """SRC-5: VOC documents; inclusive corners counted from 1; every object with its fields."""
     b = bridge(spark, folder)
     x, y, w, h = (F.col(f"b.{c}") for c in "xywh")
     tag = lambda n, v: F.concat(F.lit(f"<{n}>"), v.cast("string"), F.lit(f"</{n}>"))
     corners = F.concat(tag("xmin", x), tag("ymin", y), tag("xmax", x + w), tag("ymax", y + h))
-    o = F.concat(F.lit("<object>"), tag("name", F.col("lab")), tag("difficult", F.when(F.col("ln") % 3 == 0, 1).otherwise(0)), tag("bndbox", corners), F.lit("</object>"))
+    parts = (tag("name", F.col("lab")), tag("pose", F.concat_ws("-", "ln", "pk", "sk")), tag("truncated", F.col("ln") % 2), tag("difficult", F.when(F.col("ln") % 3 == 0, 1).otherwise(0)), tag("bndbox", corners))
+    o = F.concat(F.lit("<object>"), *parts, F.lit("</object>"))
     doc = b.groupBy("k").agg(F.concat(F.lit("<annotation>"), tag("filename", F.concat("k", F.lit(".png"))), F.array_join(F.collect_list(o), ""), F.lit("</annotation>")).alias("value"))
     v = doc.select(X.voc_objects(F.col("value")).alias("v")).select("v.filename", F.explode("v.raw").alias("r"))
-    return v.groupBy("filename").agg(F.count("*").alias("n"), F.count_if("r.ignore").alias("n_difficult"), F.round(F.sum("r.b.x"), 3).alias("sx"), F.round(F.sum("r.b.w"), 3).alias("sw"))
+    return _rows(v, "filename")
 
 
 _JUDGED = """j as (select k, split, lab, iw, ih, x, y, w, h, case when lab='RF' then 'ignored' when w<=0 or h<=0 then 'invalid' when x>=0 and y>=0 and x+w<=iw and y+h<=ih then 'kept'
@@ -128,14 +145,20 @@ def import_stats(spark, folder):
     return statistics(judge(pics, cfg), ("split",))
 
 
-@query("proj6_records", f"with {BRIDGE}, {_JUDGED} select 'bridge:train:'||k image_id, kept::bigint n_objects from p where split = 'train' and kept > 0")
+@query("proj6_records", f"""with {BRIDGE}, {_JUDGED} select 'bridge:'||split||':'||k image_id, 'bridge' dataset, split, kept::bigint n_objects, case split when 'train' then '{{"base": 1, "license": "x", "own": "'||k||'", "shared": "split"}}' else '{{"base": 1, "own": "'||k||'", "shared": "source"}}' end meta_json from p where kept > 0""")
 def records(spark, folder):
-    """P-6: canonical rows, ids and objects."""
-    b = bridge(spark, folder).filter("split = 'train'")
-    objects = b.groupBy("k", "iw", "ih").agg(F.collect_list(X.raw(F.col("lab"), _code(F.col("lab")), F.col("b"))).alias("raw"))
-    pics = objects.select(F.col("k").cast("string").alias("source_id"), F.lit("p").alias("image_path"), F.col("iw").cast("int").alias("width"), F.col("ih").cast("int").alias("height"), "raw")
-    cfg = SourceConfig.of({"key": "bridge", "source_format": "coco", "splits": {"train": {"root": "/"}}, "ignore_labels": ["RF"]})
-    return ingest(pics, cfg, "train")[0].select("image_id", F.size("objects").cast("bigint").alias("n_objects"))
+    """P-6: canonical rows of all three splits: ids, objects and merged metadata (the record's over the split's over the source's)."""
+    b = bridge(spark, folder)
+    objects = b.groupBy("k", "iw", "ih", "split").agg(F.collect_list(X.raw(F.col("lab"), _code(F.col("lab")), F.col("b"))).alias("raw"))
+    own = F.to_json(F.struct(F.col("k").cast("string").alias("own")))
+    pics = objects.select(F.col("k").cast("string").alias("source_id"), F.lit("p").alias("image_path"), F.col("iw").cast("int").alias("width"), F.col("ih").cast("int").alias("height"), "raw", "split", own.alias("meta_json"))
+    splits = {"train": {"root": "/", "meta": {"license": "x", "shared": "split"}}, "val": {"root": "/"}, "test": {"root": "/"}}
+    cfg = SourceConfig.of({"key": "bridge", "source_format": "coco", "splits": splits, "ignore_labels": ["RF"], "meta": {"base": 1, "shared": "source"}})
+    out = None
+    for name in splits:
+        rows = ingest(pics.filter(F.col("split") == name).drop("split"), cfg, name)[0].select("image_id", "dataset", "split", F.size("objects").cast("bigint").alias("n_objects"), "meta_json")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query("src3_path_part", "select image_id, split_part(image_path, '/', 2) part, split_part(image_path, '/', -2) folder from image_rows where image_path is not null")

@@ -48,12 +48,12 @@ def raw(label: Column, label_id: Column, b: Column, known: Column | None = None,
     )
 
 
-def visdrone_line(line: Column) -> Column:
-    """A raw object of 'x,y,w,h,score,class,truncation,occlusion'; null for a line that is skipped."""
+def visdrone_line(line: Column, at: Column) -> Column:
+    """A raw object of line `at` (from 1), 'x,y,w,h,score,class,truncation,occlusion'; null for a line that is skipped."""
 
     def read(part: Column) -> Column:
-        at = lambda i: F.get(part, F.lit(i))
-        fields = F.struct(*[number(at(i)).alias(c) for i, c in enumerate("xywh")], *[integer(at(i)).alias(c) for i, c in enumerate(("score", "code", "cut", "hidden"), 4)])
+        field = lambda i: F.get(part, F.lit(i))
+        fields = F.struct(*[number(field(i)).alias(c) for i, c in enumerate("xywh")], *[integer(field(i)).alias(c) for i, c in enumerate(("score", "code", "cut", "hidden"), 4)])
         return F.when(F.size(part) == 8, G.let(fields, made))
 
     def made(f: Column) -> Column:
@@ -61,39 +61,47 @@ def visdrone_line(line: Column) -> Column:
         ok = name.isNotNull()
         for c in ("x", "y", "w", "h", "score", "cut", "hidden"):
             ok = ok & f[c].isNotNull()
-        meta = F.to_json(F.struct(f["hidden"].alias("occlusion"), f["score"].alias("score"), f["cut"].alias("truncation")))
+        meta = F.to_json(F.struct(f["hidden"].alias("occlusion"), f["score"].alias("score"), at.cast("int").alias("source_line_number"), f["cut"].alias("truncation")))
         return F.when(ok, raw(name, f["code"], G.box(f["x"], f["y"], f["w"], f["h"]), ignore=(f["score"] == 0) | f["code"].isin(*VISDRONE_IGNORED), meta=meta))
 
     return G.let(F.split(F.trim(line), ","), read)
 
 
-def yolo_line(line: Column, width: Column, height: Column, names: dict[int, str]) -> Column:
-    """A raw object of 'class cx cy w h' or 'class x1 y1 … xn yn' (shares of the picture); null for a line that is skipped.
+# A class and then numbers only, in plain notation.
+_YOLO = r"^\S+(\s+[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?)+$"
 
-    The class is tested before the coordinates: an unknown class is counted as such even if they are unreadable.
+
+def yolo_line(line: Column, width: Column, height: Column, names: dict[int, str], at: Column) -> Column:
+    """A raw object of line `at` (from 1): 'class cx cy w h' or 'class x1 y1 … xn yn' in shares of the picture; null if it is skipped.
+
+    The class is tested before the coordinates: an unknown class is counted as such even if they are unreadable. One
+    pattern tells whether all coordinates are numbers; those of plain boxes are read without a function per element.
     """
 
     def read(part: Column) -> Column:
-        fields = F.struct(integer(F.get(part, F.lit(0))).alias("code"), F.transform(F.slice(part, 2, 100_000), number).alias("v"))
-        return F.when(F.get(part, F.lit(0)) != "", G.let(fields, made))
-
-    def made(f: Column) -> Column:
-        code, values, n = f["code"], f["v"], F.size(f["v"])
+        field, n = lambda i: F.get(part, F.lit(i)), F.size(part) - 1
+        value = lambda i: field(i).try_cast("double")
+        code = integer(field(0))
         name = lookup(code, names)
-        at = lambda i: F.get(values, F.lit(i))
-        plain = G.from_normalised_centre(at(0), at(1), at(2), at(3), width, height)
-        side = lambda odd, least, size: (F.array_min if least else F.array_max)(F.filter(values, lambda v, i: i % 2 == odd)) * size
-        shape = G.from_corners(side(0, True, width), side(1, True, height), side(0, False, width), side(1, False, height))
-        fine = ((n == 4) | ((n > 4) & (n % 2 == 0))) & ~F.exists(values, lambda v: v.isNull())
-        kind = F.when(n == 4, "box").otherwise("polygon")
-        known = F.when(fine, raw(name, code, F.when(n == 4, plain).otherwise(shape), meta=F.to_json(F.struct(kind.alias("source_annotation_kind")))))
-        return F.when(code.isNull(), F.lit(None)).when(name.isNull(), raw(code.cast("string"), code, F.lit(None).cast(G.BOX), known=F.lit(False))).otherwise(known)
+        meta = lambda shape: F.to_json(F.struct(at.cast("int").alias("source_line_number"), F.lit(shape).alias("source_shape")))
+        plain = raw(name, code, G.from_normalised_centre(value(1), value(2), value(3), value(4), width, height), meta=meta("bbox"))
+
+        def corners(v: Column) -> Column:
+            xs, ys = F.filter(v, lambda x, i: i % 2 == 0), F.filter(v, lambda x, i: i % 2 == 1)
+            return G.let(F.struct(xs.alias("x"), ys.alias("y")), lambda s: G.from_corners(F.array_min(s["x"]) * width, F.array_min(s["y"]) * height, F.array_max(s["x"]) * width, F.array_max(s["y"]) * height))
+
+        shape = raw(name, code, G.let(F.transform(F.slice(part, F.lit(2), n), lambda x: x.try_cast("double")), corners), meta=meta("polygon"))
+        known = F.when(F.trim(line).rlike(_YOLO), F.when(n == 4, plain).when((n > 4) & (n % 2 == 0), shape))
+        return F.when((field(0) == "") | code.isNull(), F.lit(None)).when(name.isNull(), raw(code.cast("string"), code, F.lit(None).cast(G.BOX), known=F.lit(False))).otherwise(known)
 
     return G.let(F.split(F.trim(line), r"\s+"), read)
 
 
-def exdark_line(line: Column) -> Column:
-    """A raw object of 'label x y w h …'; null for comments and short or unreadable lines."""
+def exdark_line(line: Column, at: Column) -> Column:
+    """A raw object of line `at` (from 1), 'label x y w h …'; null for comments and short or unreadable lines.
+
+    The label is tested before the numbers: an unknown one is counted as such even if they are unreadable.
+    """
 
     def read(part: Column) -> Column:
         fields = F.struct(F.get(part, F.lit(0)).alias("label"), *[number(F.get(part, F.lit(i))).alias(c) for i, c in enumerate("xywh", 1)])
@@ -104,7 +112,9 @@ def exdark_line(line: Column) -> Column:
         for k, name in EXDARK_CLASSES.items():
             code = F.when(f["label"] == name, F.lit(k)).otherwise(code)
         ok = f["x"].isNotNull() & f["y"].isNotNull() & f["w"].isNotNull() & f["h"].isNotNull()
-        return F.when(ok, raw(f["label"], code, G.box(f["x"], f["y"], f["w"], f["h"]), known=code.isNotNull()))
+        unknown = raw(f["label"], code, F.lit(None).cast(G.BOX), known=F.lit(False))
+        meta = F.to_json(F.struct(at.cast("int").alias("source_line_number")))
+        return F.when(code.isNull(), unknown).when(ok, raw(f["label"], code, G.box(f["x"], f["y"], f["w"], f["h"]), meta=meta))
 
     return G.let(F.split(F.trim(line), r"\s+"), read)
 
@@ -120,30 +130,38 @@ def exdark_list_line(line: Column) -> Column:
     return F.when((F.trim(line) == "") | F.lower(F.trim(line)).startswith("name"), F.lit(None)).when(bad, fail).otherwise(row)
 
 
-COCO = (
-    "images array<struct<id:string,file_name:string,width:int,height:int>>, "
-    "annotations array<struct<id:string,image_id:string,category_id:string,bbox:array<double>,area:double,iscrowd:string,ignore:string>>, "
-    "categories array<struct<id:string,name:string>>"
-)
+# The fields of the lists of a COCO document.
+COCO = {
+    "images": "struct<id:string,file_name:string,width:int,height:int>",
+    "annotations": "struct<id:string,image_id:string,category_id:string,bbox:array<double>,area:double,iscrowd:string,ignore:string>",
+    "categories": "struct<id:string,name:string>",
+}
 
 
 def _truthy(c: Column) -> Column:
     return F.coalesce(F.lower(c).isin("1", "true"), F.lit(False))
 
 
-def coco_tables(doc: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(images, annotations, categories) of COCO JSON documents, keyed by string ids; positions keep the file's order."""
-    d = written(doc.select(F.from_json(column, COCO).alias("d")), "coco")  # parsed once for the three tables
-    images = d.select(F.posexplode("d.images").alias("pos", "i")).select("pos", "i.*")
-    notes = d.select(F.posexplode("d.annotations").alias("pos", "a")).select("pos", "a.*").withColumn("iscrowd", _truthy(F.col("iscrowd"))).withColumn("ignore", _truthy(F.col("ignore")))
+def document_elements(docs: DataFrame, column: str = "value") -> DataFrame:
+    """(list, pos, value) of JSON documents that are one value each, as stream_json() gives them for files of any size."""
+    lists = F.array(*[F.struct(F.lit(k).alias("list"), F.from_json(F.col("d")[k], "array<string>").alias("v")) for k in COCO])
+    parsed = docs.select(F.from_json(column, "struct<" + ",".join(f"{k}:string" for k in COCO) + ">").alias("d"))
+    return parsed.select(F.explode(lists).alias("l")).select("l.list", F.posexplode("l.v").alias("pos", "value"))
+
+
+def coco_tables(elements: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(images, annotations, categories) of COCO elements (list, pos, value), keyed by string ids; positions keep the file's order."""
+    e = written(elements.filter(F.col("list").isin(*COCO)), "coco", by=("list",))  # read once for the three tables
+    one = lambda k: e.filter(F.col("list") == k).select("pos", F.from_json("value", COCO[k]).alias("v")).select("pos", "v.*")
+    notes = one("annotations").withColumn("iscrowd", _truthy(F.col("iscrowd"))).withColumn("ignore", _truthy(F.col("ignore")))
     # The last of several categories with one id counts.
-    cats = d.select(F.posexplode("d.categories").alias("pos", "c")).groupBy("c.id").agg(F.max_by(F.trim("c.name"), "pos").alias("name"))
-    return images, notes, cats
+    cats = one("categories").groupBy("id").agg(F.max_by(F.trim("name"), "pos").alias("name"))
+    return one("images"), notes, cats
 
 
 def coco_objects(notes: DataFrame, categories: DataFrame) -> DataFrame:
     """(image_id, raw): objects in annotation order; an unknown category raises."""
-    j = notes.join(F.broadcast(categories.withColumnRenamed("id", "category_id")), "category_id", "left")  # categories: a label list
+    j = notes.join(categories.withColumnRenamed("id", "category_id"), "category_id", "left")
     name = F.coalesce("name", F.raise_error(F.concat(F.lit("unknown category_id "), F.col("category_id"))).cast("string"))
     meta = F.to_json(F.struct(F.col("id").alias("source_annotation_id"), F.col("area").alias("source_area")), {"ignoreNullFields": "false"})
     o = raw(name, F.col("category_id"), G.from_array(F.col("bbox")), ignore=F.col("ignore"), iscrowd=F.col("iscrowd"), meta=meta)
@@ -158,14 +176,18 @@ def path_part(name: Column, index: int) -> Column:
 
 
 SCALABEL = (
-    "array<struct<name:string,timestamp:bigint,attributes:struct<weather:string,scene:string,timeofday:string>,"
-    "labels:array<struct<id:string,category:string,manualShape:boolean,manualAttributes:boolean,attributes:string,box2d:struct<x1:double,y1:double,x2:double,y2:double>>>>>"
+    "struct<name:string,timestamp:bigint,attributes:struct<weather:string,scene:string,timeofday:string>,"
+    "labels:array<struct<id:string,category:string,manualShape:boolean,manualAttributes:boolean,attributes:string,box2d:struct<x1:double,y1:double,x2:double,y2:double>>>>"
 )
 
 
-def scalabel_frames(doc: DataFrame, column: str = "value") -> DataFrame:
-    """(pos, source_id, raw, condition, meta_json) of Scalabel JSON lists; labels without a box are left out."""
-    f = doc.select(F.posexplode(F.from_json(column, SCALABEL)).alias("pos", "f"))
+def scalabel_frames(elements: DataFrame) -> DataFrame:
+    """(pos, source_id, raw, condition, meta_json) of Scalabel frames (list, pos, value); labels without a box are left out.
+
+    The document must be a list of frames; elements of a named list raise.
+    """
+    whole = F.when(F.col("list") == "", F.col("value")).otherwise(F.raise_error(F.lit("a Scalabel document is a list")).cast("string"))
+    f = elements.select("pos", F.from_json(whole, SCALABEL).alias("f"))
     name = F.nullif(F.trim("f.name"), F.lit(""))
     category = lambda x: F.coalesce(F.nullif(F.trim(x["category"]), F.lit("")), F.raise_error(F.lit("a box has no category")).cast("string"))
 

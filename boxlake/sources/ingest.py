@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.functions.objects import json_object, object_text, updated
 from boxlake.functions.labels import first_filled, is_valid, mapped
 from boxlake.schema import CANONICAL
 from boxlake.sources.config import SourceConfig
@@ -57,11 +58,12 @@ def statistics(judged_rows: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     return judged_rows.groupBy(*by).agg(*[c.alias(name) for c, name in zip(counters, STATISTICS, strict=True)])
 
 
-def ingest(raw: DataFrame, cfg: SourceConfig, split: str) -> tuple[DataFrame, DataFrame]:
+def ingest(raw: DataFrame, cfg: SourceConfig, split: str, ordered: bool = False) -> tuple[DataFrame, DataFrame]:
     """(canonical rows, one row of statistics) of raw pictures.
 
     raw: source_id, image_path, width, height, raw (array of raw objects), and, if the format has them, content,
-    condition, domain, is_synthetic, meta_json. Pictures without any valid native object are dropped; their objects
+    condition, domain, is_synthetic, meta_json, pos (its place in the source, else the path tells it). With `ordered` the
+    rows are sorted by that place. Pictures without any valid native object are dropped; their objects
     still count in the statistics. A picture without a size raises.
     """
     s = cfg.split(split)
@@ -72,7 +74,10 @@ def ingest(raw: DataFrame, cfg: SourceConfig, split: str) -> tuple[DataFrame, Da
     known = lambda c, own, default: F.lower(F.trim(first_filled(col(c), F.lit(own), F.lit(default or "unknown"))))
     base = json.dumps(cfg.merged_meta(split), sort_keys=True, default=str)
     meta = F.lit(base) if not has("meta_json") else F.col("meta_json") if base == "{}" else _joined(F.lit(base), F.col("meta_json"))
-    rows = df.filter("keep").select(
+    kept = df.filter("keep")
+    if ordered:
+        kept = kept.orderBy("pos" if has("pos") else "image_path")
+    rows = kept.select(
         F.struct(col("content", "binary").alias("bytes"), F.col("image_path").alias("path")).alias("image"), F.concat_ws(":", F.lit(cfg.key), F.lit(split), F.trim("source_id")).alias("image_id"),
         F.lit(cfg.key).alias("dataset"), F.lit(split).alias("split"), "image_path", F.col("width").cast("int").alias("width"), F.col("height").cast("int").alias("height"),
         known("condition", s.condition, cfg.default_condition).alias("condition"), known("domain", s.domain, cfg.default_domain).alias("domain"),
@@ -83,7 +88,4 @@ def ingest(raw: DataFrame, cfg: SourceConfig, split: str) -> tuple[DataFrame, Da
 
 def _joined(base: Column, own: Column) -> Column:
     """Two JSON objects as one with sorted keys; the second's entries win."""
-    as_map = lambda c: F.from_json(c, "map<string,variant>")
-    both = F.map_concat(F.map_filter(as_map(base), lambda k, v: ~F.array_contains(F.map_keys(F.coalesce(as_map(own), F.create_map().cast("map<string,variant>"))), k)), F.coalesce(as_map(own), F.create_map().cast("map<string,variant>")))
-    entries = F.transform(F.array_sort(F.map_keys(both)), lambda k: F.concat(F.lit('"'), k, F.lit('": '), F.coalesce(F.to_json(both[k]), F.lit("null"))))
-    return F.concat(F.lit("{"), F.array_join(entries, ", "), F.lit("}"))
+    return object_text(updated(json_object(base), json_object(own, strict=False)), (", ", ": "))

@@ -12,6 +12,7 @@ from boxlake.schema import SPLITS, require_canonical
 from boxlake.sources import formats as X
 from boxlake.sources.config import SourceConfig
 from boxlake.sources.ingest import ingest
+from boxlake.sources.json_stream import stream_json
 
 # Suffixes of pictures.
 PICTURES = ("jpg", "jpeg", "png", "bmp", "webp", "pgm")
@@ -62,10 +63,10 @@ def coco(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     """COCO JSON; a picture whose size contradicts the file is skipped, a missing picture raises."""
     s = cfg.split(split)
     _exists(spark, s.path("annotations"))
-    images, notes, cats = X.coco_tables(spark.read.text(s.path("annotations"), wholetext=True))
+    images, notes, cats = X.coco_tables(stream_json(spark, s.path("annotations")))
     objects = X.coco_objects(notes, cats)
     files = pictures(spark, s.path("images")).select(F.col("rel").alias("file_name"), "image_path", "content", "width", "height")
-    own = images.select(F.col("id").alias("source_id"), "file_name", F.col("width").alias("jw"), F.col("height").alias("jh"))
+    own = images.select("pos", F.col("id").alias("source_id"), "file_name", F.col("width").alias("jw"), F.col("height").alias("jh"))
     df = own.join(files, "file_name", "left").join(objects.withColumnRenamed("image_id", "source_id"), "source_id", "left")
     missing = F.raise_error(F.concat(F.lit("missing picture "), F.col("file_name"))).cast("string")
     df = df.withColumn("image_path", F.coalesce("image_path", missing))
@@ -73,18 +74,18 @@ def coco(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     condition = F.lit(None).cast("string") if part is None else X.path_part(F.col("file_name"), int(part))
     meta = F.to_json(F.struct(F.lit("coco").alias("source_annotation_format"), F.col("file_name").alias("source_file_name"), F.col("source_id").alias("source_image_id")))
     odd = (F.col("jw") > 0) & (F.col("jh") > 0) & ((F.col("jw") != F.col("width")) | (F.col("jh") != F.col("height")))
-    return df.filter(~F.coalesce(odd, F.lit(False))).select("source_id", "image_path", "width", "height", "content", "raw", condition.alias("condition"), meta.alias("meta_json"))
+    return df.filter(~F.coalesce(odd, F.lit(False))).select("pos", "source_id", "image_path", "width", "height", "content", "raw", condition.alias("condition"), meta.alias("meta_json"))
 
 
 def bdd100k(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     """Scalabel JSON; the condition is the frame's weather, else the source's default, the domain is the road."""
     s = cfg.split(split)
     _exists(spark, s.path("annotations"))
-    frames = X.scalabel_frames(spark.read.text(s.path("annotations"), wholetext=True))
+    frames = X.scalabel_frames(stream_json(spark, s.path("annotations")))
     files = pictures(spark, s.path("images")).select(F.col("rel").alias("source_id"), "image_path", "content", "width", "height")
     df = frames.join(files, "source_id", "left")
     missing = F.raise_error(F.concat(F.lit("missing picture "), F.col("source_id"))).cast("string")
-    return df.select("source_id", F.coalesce("image_path", missing).alias("image_path"), "width", "height", "content", "raw", F.coalesce("condition", F.lit(cfg.default_condition)).alias("condition"), F.lit("road").alias("domain"), "meta_json")
+    return df.select("pos", "source_id", F.coalesce("image_path", missing).alias("image_path"), "width", "height", "content", "raw", F.coalesce("condition", F.lit(cfg.default_condition)).alias("condition"), F.lit("road").alias("domain"), "meta_json")
 
 
 def pascal_voc(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
@@ -92,7 +93,7 @@ def pascal_voc(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     s = cfg.split(split)
     for k in ("image_set", "annotations", "images"):
         _exists(spark, s.path(k))
-    ids = spark.read.text(s.path("image_set")).select(F.get(F.split(F.trim("value"), r"\s+"), F.lit(0)).alias("source_id")).filter("source_id <> ''")
+    ids = spark.read.text(s.path("image_set")).select(F.monotonically_increasing_id().alias("pos"), F.get(F.split(F.trim("value"), r"\s+"), F.lit(0)).alias("source_id")).filter("source_id <> ''")
     xml = texts(spark, s.path("annotations"), "*.xml").select(F.col("stem").alias("source_id"), X.voc_objects(F.col("value")).alias("v"))
     df = ids.join(xml, "source_id", "left")
     fail = lambda what: F.raise_error(F.concat(F.lit(f"missing {what} of "), F.col("source_id"))).cast("string")
@@ -100,7 +101,7 @@ def pascal_voc(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     files = pictures(spark, s.path("images")).select("name", "image_path", "content", "width", "height")
     df = df.join(files, "name", "left")
     meta = F.to_json(F.struct(F.lit("pascal_voc").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
-    return df.select("source_id", F.coalesce("image_path", fail("picture")).alias("image_path"), "width", "height", "content", F.col("v.raw").alias("raw"), meta.alias("meta_json"))
+    return df.select("pos", "source_id", F.coalesce("image_path", fail("picture")).alias("image_path"), "width", "height", "content", F.col("v.raw").alias("raw"), meta.alias("meta_json"))
 
 
 def visdrone(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
@@ -109,8 +110,8 @@ def visdrone(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     notes = texts(spark, s.path("annotations")).select("stem", "value", F.lit(True).alias("there"))
     df = files.join(notes, "stem", "left")
     fail = F.raise_error(F.concat(F.lit("missing annotation of "), F.col("name"))).cast("string")
-    raw = _present(F.transform(_lines(F.col("value")), X.visdrone_line))
-    meta = F.to_json(F.struct(F.lit("visdrone_det").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
+    raw = _present(F.transform(_lines(F.col("value")), lambda x, i: X.visdrone_line(x, i + 1)))
+    meta = F.to_json(F.struct(F.concat("stem", F.lit(".txt")).alias("source_annotation_file"), F.lit("visdrone_det").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
     return df.select(F.col("stem").alias("source_id"), F.coalesce(F.when(F.col("there"), F.col("image_path")), fail).alias("image_path"), "width", "height", "content", raw.alias("raw"), meta.alias("meta_json"))
 
 
@@ -119,8 +120,9 @@ def _yolo(spark: SparkSession, cfg: SourceConfig, split: str, names: dict[int, s
     notes = texts(spark, s.path("labels")).select("stem", "value")
     df = pictures(spark, s.path("images")).join(notes, "stem", "left")
     # A picture without a label file has no objects (and is dropped later).
-    raw = F.when(F.col("value").isNull(), F.array().cast(f"array<{X.RAW}>")).otherwise(_present(F.transform(_lines(F.col("value")), lambda x: X.yolo_line(x, F.col("width"), F.col("height"), names))))
-    meta = F.to_json(F.struct(F.lit("yolo").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
+    raw = F.when(F.col("value").isNull(), F.array().cast(f"array<{X.RAW}>")).otherwise(_present(F.transform(_lines(F.col("value")), lambda x, i: X.yolo_line(x, F.col("width"), F.col("height"), names, i + 1))))
+    label_file = F.concat(F.lit(s.path("labels").rstrip("/") + "/"), "stem", F.lit(".txt"))
+    meta = F.to_json(F.struct(F.lit("yolo").alias("source_annotation_format"), F.col("name").alias("source_file_name"), label_file.alias("source_label_file")))
     return df.select(F.col("stem").alias("source_id"), "image_path", "width", "height", "content", raw.alias("raw"), meta.alias("meta_json"))
 
 
@@ -163,7 +165,7 @@ def exdark(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
         return j.groupBy(*[c for c in keep if c != "content"]).agg(best, *([F.first("content").alias("content")] if "content" in keep else [])).select(*keep, "best.*")
 
     df = nearest(nearest(listed, notes, ["value"]), files, ["image_path", "content", "width", "height"])
-    raw = _present(F.transform(_lines(F.col("value")), X.exdark_line))
+    raw = _present(F.transform(_lines(F.col("value")), lambda x, i: X.exdark_line(x, i + 1)))
     meta = F.to_json(F.struct(F.col("class").alias("image_class"), F.col("place").alias("indoor_outdoor"), "lighting", F.lit("exdark").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
     return df.select(F.col("name").alias("source_id"), "image_path", "width", "height", "content", raw.alias("raw"), meta.alias("meta_json"))
 
@@ -180,9 +182,9 @@ def reader(source_format: str) -> Callable[[SparkSession, SourceConfig, str], Da
 
 
 def read_split(spark: SparkSession, cfg: SourceConfig, split: str) -> tuple[DataFrame, DataFrame]:
-    """(canonical rows, statistics) of one split of a raw source."""
+    """(canonical rows in the source's order, statistics) of one split of a raw source."""
     cfg.split(split)
-    return ingest(reader(cfg.source_format)(spark, cfg, split), cfg, split)
+    return ingest(reader(cfg.source_format)(spark, cfg, split), cfg, split, ordered=True)
 
 
 def convert(spark: SparkSession, cfg: SourceConfig, output: str, splits: list[str] | None = None, force: bool = False, rows_per_file: int = 0) -> dict[str, dict]:
@@ -200,8 +202,12 @@ def convert(spark: SparkSession, cfg: SourceConfig, output: str, splits: list[st
     return out
 
 
-def load_canonical(spark: SparkSession, folder: str, split: str | None = None) -> DataFrame:
-    """Converted rows of one split, or of all; a folder with other splits, or rows with another schema, raise."""
+def load_canonical(spark: SparkSession, folder: str, split: str | None = None, dataset: str | None = None, position: str | None = None) -> DataFrame:
+    """Converted rows of one split, or of all; a folder with other splits, or rows with another schema, raise.
+
+    With `dataset`, rows that name another dataset or split than the folder's raise when they are read. `position` names
+    a column for a row's place in the folder's files, which convert() writes in the source's order.
+    """
     p = spark._jvm.org.apache.hadoop.fs.Path(folder)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
@@ -211,9 +217,18 @@ def load_canonical(spark: SparkSession, folder: str, split: str | None = None) -
         raise ValueError(f"unexpected splits in {folder}: {', '.join(odd)}")
     if split is not None and split not in found:
         raise KeyError(f"no split {split!r}; available: {', '.join(found)}")
-    parts = [spark.read.parquet(f"{folder}/{s}") for s in found if split in (None, s)]
-    for part in parts:
-        require_canonical(part)
+    parts = []
+    for s in found:
+        if split in (None, s):
+            part = spark.read.parquet(f"{folder}/{s}")
+            require_canonical(part)
+            if position:
+                part = part.select("*", F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias(position))
+            if dataset is not None:
+                odd = ~(F.col("dataset").eqNullSafe(F.lit(dataset)) & F.col("split").eqNullSafe(F.lit(s)))
+                said = F.concat(F.lit(f"row of {dataset}/{s} says "), F.coalesce("dataset", F.lit("nothing")), F.lit("/"), F.coalesce("split", F.lit("nothing")), F.lit(": "), F.coalesce("image_id", F.lit("?")))
+                part = part.withColumn("dataset", F.when(odd, F.raise_error(said).cast("string")).otherwise(F.col("dataset")))
+            parts.append(part)
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
