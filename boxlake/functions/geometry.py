@@ -154,7 +154,7 @@ def checked(b: Column, width: Column, height: Column) -> Column:
 
 
 def resize_plan(width: Column, height: Column, mode: str, target: tuple[int, int], longest: int | None = None) -> Column:
-    """struct<width, height, scale_x, scale_y, pad_x, pad_y> of a resize, rounding half to even.
+    """struct<width, height, scale_x, scale_y, pad_x, pad_y> of a resize, rounding half to even; no side gets shorter than a pixel.
 
     exact: to target (width, height). letterbox: into target with equal padding (the left half rounded down).
     shortest_edge: the shorter side to target[0], unless the longer side would exceed `longest`.
@@ -166,11 +166,11 @@ def resize_plan(width: Column, height: Column, mode: str, target: tuple[int, int
         nw, nh, px, py, cw, ch = tw, th, zero, zero, tw, th
     elif mode == "letterbox":
         scale = F.least(tw / w, th / h)
-        nw, nh = F.rint(w * scale), F.rint(h * scale)
+        nw, nh = F.greatest(F.lit(1.0), F.rint(w * scale)), F.greatest(F.lit(1.0), F.rint(h * scale))
         px, py, cw, ch = F.floor((tw - nw) / 2), F.floor((th - nh) / 2), tw, th
     elif mode == "shortest_edge":
         scale = F.least(tw / F.least(w, h), F.lit(float(longest if longest is not None else 2**31)) / F.greatest(w, h))
-        nw, nh = F.rint(w * scale), F.rint(h * scale)
+        nw, nh = F.greatest(F.lit(1.0), F.rint(w * scale)), F.greatest(F.lit(1.0), F.rint(h * scale))
         px, py, cw, ch = zero, zero, nw, nh
     else:
         raise ValueError(f"unknown resize mode {mode!r}; one of exact, letterbox, shortest_edge")
@@ -198,6 +198,34 @@ def restored(b: Column, plan: Column, width: Column, height: Column) -> Column:
     return clipped(box(x1, y1, x2 - x1, y2 - y1), width, height)
 
 
+def draw(key: Column, seed: int, what: str) -> Column:
+    """A number from 0 to 1 (without 1) that depends on the key, the seed and what it is drawn for."""
+    return F.pmod(F.xxhash64(key, F.lit(seed), F.lit(what)), F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+
+def colour_jitter(key: Column, seed: int, strength: float, probability: float) -> Column:
+    """struct<applied, brightness, contrast, saturation, hue>: the factors of a random change of colour, 1 and 0 if not applied.
+
+    Factors lie within strength of 1 (and not below 0), the shift of the hue within half of it, at most half a turn.
+    """
+    on = draw(key, seed, "jitter") < probability
+    lo, hi, turn = max(0.0, 1 - strength), 1 + strength, min(0.5, strength * 0.5)
+    factor = lambda name: F.when(on, lo + draw(key, seed, name) * (hi - lo)).otherwise(F.lit(1.0)).alias(name)
+    hue = F.when(on, (draw(key, seed, "hue") * 2 - 1) * turn).otherwise(F.lit(0.0))
+    return F.struct(on.alias("applied"), factor("brightness"), factor("contrast"), factor("saturation"), hue.alias("hue"))
+
+
+def canonical_corners(corners: Column, width: Column, height: Column) -> Column:
+    """Corners [x1, y1, x2, y2] in a picture as a box cut to it; null unless they are four finite numbers in order with an area inside."""
+    values = [F.get(corners, F.lit(i)).cast("double") for i in range(4)]
+    usable = (F.size(corners) == 4) & (width > 0) & (height > 0)
+    for v in values:
+        usable = usable & v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf")))
+    x1, x2 = (F.greatest(F.lit(0.0), F.least(v, width.cast("double"))) for v in (values[0], values[2]))
+    y1, y2 = (F.greatest(F.lit(0.0), F.least(v, height.cast("double"))) for v in (values[1], values[3]))
+    return F.when(F.coalesce(usable & (x2 > x1) & (y2 > y1), F.lit(False)), from_corners(x1, y1, x2, y2))
+
+
 def canonical_prediction(corners: Column, plan: Column, width: Column, height: Column) -> Column:
     """Predicted corners [x1, y1, x2, y2] in the resized picture as a box of the original; null if unusable."""
     values = [F.get(corners, F.lit(i)).cast("double") for i in range(4)]

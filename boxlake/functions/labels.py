@@ -59,6 +59,13 @@ def sanitised(c: Column) -> Column:
     return F.coalesce(F.nullif(out, F.lit("")), F.lit("unknown"))
 
 
+def plain_name(text: str) -> str:
+    """sanitised() for one name on the driver."""
+    import re
+
+    return re.sub(r"[^A-Za-z0-9_.-]+", "_", text.strip().lower()).strip("_") or "unknown"
+
+
 def number_or_null(c: Column) -> Column:
     """A finite number of text in plain notation, else null ('1d', 'nan' and 'inf' are none)."""
     v = F.when(F.trim(c).rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), F.trim(c).try_cast("double"))

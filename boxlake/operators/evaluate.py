@@ -237,9 +237,26 @@ def evaluate(truth: DataFrame, predictions: DataFrame, images: DataFrame, classe
     return out.unionByName(per_class).unionByName(size)
 
 
+def evaluation_counts(rows: DataFrame, truth: DataFrame, predictions: DataFrame) -> DataFrame:
+    """One row: num_images, num_ground_truth, num_predictions, num_dropped_boxes.
+
+    All predictions count, also those of unknown classes or of other pictures; dropped boxes are the predictor's
+    n_invalid (0 where it has none, as usable_predictions() counts them).
+    """
+    dropped = F.coalesce(F.sum("n_invalid"), F.lit(0)) if "n_invalid" in predictions.columns else F.lit(0)
+    p = predictions.agg(F.coalesce(F.sum(F.size(F.coalesce("predictions", F.array()))), F.lit(0)).cast("bigint").alias("num_predictions"), dropped.cast("bigint").alias("num_dropped_boxes"))
+    out = rows.agg(F.count("*").alias("num_images")).crossJoin(truth.agg(F.count("*").alias("num_ground_truth"))).crossJoin(p)  # one row each
+    return out.select("num_images", "num_ground_truth", "num_predictions", "num_dropped_boxes")
+
+
+def required(metrics: dict[str, float], name: str) -> float:
+    """A metric's value; an error naming the available ones if it is missing or not finite."""
+    value = metrics.get(name)
+    if value is None or not np.isfinite(value):
+        raise ValueError(f"metric {name!r} is missing; available: {', '.join(sorted(metrics)) or 'none'}")
+    return value
+
+
 def require_metric(result: DataFrame, name: str) -> float:
     """The overall value of a metric; an error naming the available ones if it is missing or not finite."""
-    rows = {r["metric"]: r["value"] for r in result.filter("scope = 'overall'").select("metric", "value").collect()}
-    if name not in rows or not np.isfinite(rows[name]):
-        raise ValueError(f"metric {name!r} is missing; available: {', '.join(sorted(rows)) or 'none'}")
-    return rows[name]
+    return required({r["metric"]: r["value"] for r in result.filter("scope = 'overall'").select("metric", "value").collect()}, name)

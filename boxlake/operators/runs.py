@@ -15,8 +15,12 @@ def early_stopping(history: DataFrame, run: str, epoch: str, metric: str, min_ep
 
     An epoch is better if it beats the best so far by more than min_delta; the run stops at the first epoch from
     min_epochs on with `patience` epochs in a row that are not (null: never). best is as of the stop (or the end); top
-    is the strictly greatest value (earliest on ties) up to there. A run's epochs are folded in order inside one row.
+    is the strictly greatest value (earliest on ties) up to there. A run's epochs are folded in order inside one row. A
+    metric that is not finite raises, as in Spark NaN would be the greatest number and end all improvement.
     """
+    value = F.col(metric).cast("double")
+    odd = F.raise_error(F.concat(F.lit("metric is not finite in epoch "), F.col(epoch).cast("string"))).cast("double")
+    history = history.withColumn(metric, F.when(F.isnan(value) | (F.abs(value) == F.lit(float("inf"))), odd).otherwise(value))
     rows = history.filter(F.col(metric).isNotNull()).groupBy(run).agg(F.array_sort(F.collect_list(F.struct(F.col(epoch).cast("bigint").alias("e"), F.col(metric).cast("double").alias("m")))).alias("h"))
     start = F.struct(F.lit(float("-inf")).alias("best"), F.lit(None).cast("bigint").alias("at"), F.lit(0).alias("bad"), F.lit(None).cast("bigint").alias("stop"), F.lit(float("-inf")).alias("top"), F.lit(None).cast("bigint").alias("top_at"))
 

@@ -30,14 +30,15 @@ def digest_split(files: DataFrame, content: str, out: str = "split") -> DataFram
 def dense_number(df: DataFrame, key: str, out: str, start: int = 0) -> DataFrame:
     """df with `out`: the rank of each row by a unique key, from `start`, without gaps.
 
-    Range-partitioned by the key: rows are numbered within their range and each range begins where the last ended.
+    Range-partitioned and sorted by the key once; rows are numbered within their range in the same pass (the low bits of
+    the increasing id), and each range begins where the last ended.
     """
-    ranged = written(df.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("__part", F.spark_partition_id()), "ranged")
+    ranged = df.repartitionByRange(F.col(f"`{key}`")).sortWithinPartitions(F.col(f"`{key}`")).withColumn("__id", F.monotonically_increasing_id())
+    ranged = written(ranged.withColumn("__part", F.shiftright("__id", 33)), "ranged")
     counts = ranged.groupBy("__part").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = counts.select("__part", before.alias("__before"))  # one row per range
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(key))
-    return ranged.withColumn("__w", within).join(F.broadcast(offsets), "__part").withColumn(out, F.col("__before") + F.col("__w") - 1 + start).drop("__part", "__w", "__before")
+    return ranged.join(offsets, "__part").withColumn(out, F.col("__before") + F.col("__id").bitwiseAND(F.lit((1 << 33) - 1)) + start).drop("__part", "__id", "__before")
 
 
 def batches(df: DataFrame, number: str, size: int) -> DataFrame:

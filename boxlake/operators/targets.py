@@ -77,6 +77,33 @@ def batched_boxes(rows: DataFrame, order: str, size: int) -> DataFrame:
     return t.select("batch", "batch_idx", "cls", *[F.col("n")[i].alias(c) for i, c in enumerate(("cx", "cy", "w", "h"))])
 
 
+def collated(rows: DataFrame, order: str, size: int, columns: tuple[str, ...]) -> DataFrame:
+    """(batch, one list per column): samples of a batch of `size` rows as parallel lists, in their order."""
+    held = rows.select(F.floor(F.col(order) / size).alias("batch"), F.struct(order, *columns).alias("s"))
+    sorted_ = held.groupBy("batch").agg(F.array_sort(F.collect_list("s")).alias("s"))
+    return sorted_.select("batch", *[F.col("s").getField(c).alias(c) for c in columns])
+
+
+def transform_of(preprocess: dict, augmentation: dict | None = None, seed: int = 0) -> Callable[[DataFrame], DataFrame]:
+    """The transformation of rows with targets that an experiment's preprocess and augmentation sections describe.
+
+    Only the policies 'basic' and 'weather' flip and jitter; 'none' and 'provider' leave pictures as they are.
+    """
+    from boxlake.plans.experiments import check_preprocess
+
+    p, a = check_preprocess(dict(preprocess)), augmentation or {}
+    on = a.get("policy", "none") in ("basic", "weather")
+    mode = p["resize_mode"]
+    target = (p["shortest_edge"], p["shortest_edge"]) if mode == "shortest_edge" else (p["width"], p["height"])
+    flip, strength, chance = (float(a.get(k, 0.0)) if on else 0.0 for k in ("horizontal_flip_p", "color_jitter_strength", "color_jitter_p"))
+
+    def run(rows: DataFrame) -> DataFrame:
+        out = transformed(rows, mode, target, p.get("longest_edge"), flip, seed)
+        return out.withColumn("jitter", G.colour_jitter(F.col("image_id"), seed, strength, chance))
+
+    return run
+
+
 def transformed(rows: DataFrame, mode: str, target: tuple[int, int], longest: int | None = None, flip: float = 0.0, seed: int = 0) -> DataFrame:
     """rows with targets moved into the resized (and perhaps flipped) picture; boxes that fall outside are dropped."""
     out = rows.withColumn("resize", G.resize_plan(F.col("width"), F.col("height"), mode, target, longest)).withColumn("flip", G.flip_coin(F.col("image_id"), seed, flip))
@@ -96,6 +123,28 @@ def top_predictions(predictions: Column, confidence: float, most: int) -> Column
     return F.transform(F.slice(F.array_sort(keyed), 1, most), lambda k: k["p"])
 
 
+def usable_predictions(rows: DataFrame, raw: str, classes: list[str], confidence: float, most: int) -> DataFrame:
+    """(image_id, predictions, n_invalid) of rows with an array<struct<label, score, box>> column of corners in pixels.
+
+    In this order: predictions below `confidence` are dropped, then those of no known class, then those whose box is not
+    four finite corners with an area inside the picture, which n_invalid counts; the best `most` of the rest remain, equal
+    scores in their order. Rows need image_id, width and height; null arrays and null entries hold nothing.
+    """
+    known = F.filter(F.coalesce(F.col(raw), F.array()), lambda p: F.coalesce((p["score"] >= confidence) & p["label"].isin(*classes), F.lit(False)))
+    checked = F.transform(known, lambda p: F.struct(p["label"].alias("label"), p["score"].cast("double").alias("score"), G.canonical_corners(p["box"], F.col("width"), F.col("height")).alias("b")))
+    df = rows.select("image_id", checked.alias("c"))
+    fine = F.filter("c", lambda p: p["b"].isNotNull())
+    plain = F.transform(fine, lambda p: F.struct(p["label"].alias("label"), p["score"].alias("score"), *[p["b"][k].alias(k) for k in "xywh"]))
+    return df.select("image_id", top_predictions(plain, confidence, most).alias("predictions"), F.size(F.filter("c", lambda p: p["b"].isNull())).alias("n_invalid"))
+
+
+def drawable(o: Column, mode: str = "native", draw_ignored: bool = False, draw_crowd: bool = True) -> Column:
+    """Whether an object is drawn: it has a label of the mode and a box of area, and is not left out as ignored or crowd."""
+    b = G.from_array(o["bbox"])
+    shown = (F.coalesce(label(o, mode), F.lit("")) != "") & b.isNotNull() & (b["w"] > 0) & (b["h"] > 0)
+    return F.coalesce(shown, F.lit(False)) & (F.lit(draw_ignored) | ~F.coalesce(o["ignore"], F.lit(False))) & (F.lit(draw_crowd) | ~F.coalesce(o["iscrowd"], F.lit(False)))
+
+
 PREDICTIONS = "array<struct<label:string,score:double,x:double,y:double,w:double,h:double>>"
 
 

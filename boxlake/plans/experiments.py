@@ -22,12 +22,27 @@ TEMPLATES = {
 }
 SECTIONS = ("train", "eval", "predict", "tuning", "final", "logging")
 SHARED = ("train", "eval", "predict")
-BACKENDS = ("hf_trainer", "ultralytics", "torchvision")
+BACKENDS = ("hf_trainer", "ultralytics", "torchvision", "reference")
 
-#: Ranges of numbers: (section, key): (lowest, highest, whole); None is no bound.
+# Ranges of numbers by section and key (a dotted key lies deeper): lowest, highest, whole, and whether the ends
+# themselves are out; None is no bound.
 RANGES = {
-    ("train", "batch_size"): (1, None, True), ("train", "max_epochs"): (1, None, True), ("train", "logging_steps"): (1, None, True), ("eval", "batch_size"): (1, None, True), ("eval", "conf_threshold"): (0, 1, False),
-    ("eval", "iou_threshold"): (0, 1, False), ("eval", "max_detections_per_image"): (1, None, True), ("predict", "conf_threshold"): (0, 1, False), ("predict", "iou_threshold"): (0, 1, False), ("predict", "max_detections_per_image"): (1, None, True),
+    "train": {
+        "batch_size": (1, None, True, False), "max_epochs": (1, None, True, False), "max_steps": (1, None, True, False), "logging_steps": (1, None, True, False),
+        "augmentation.horizontal_flip_p": (0, 1, False, False), "augmentation.color_jitter_p": (0, 1, False, False), "augmentation.color_jitter_strength": (0, None, False, False),
+        "loader.num_workers": (0, None, True, False), "loader.prefetch_factor": (1, None, True, False), "loader.profile_every_n": (1, None, True, False),
+        "optimizer.weight_decay": (0, None, False, False), "optimizer.epsilon": (0, None, False, True),
+        "scheduler.warmup_epochs": (0, None, False, False), "scheduler.total_epochs": (1, None, True, False), "scheduler.min_lr_ratio": (0, 1, False, False),
+        "early_stopping.min_epochs": (1, None, True, False), "early_stopping.patience": (1, None, True, False), "early_stopping.min_delta": (0, None, False, False), "eval_strategy.every_epochs": (1, None, True, False), "checkpoint.save_every_epochs": (1, None, True, False),
+    },
+    "eval": {"batch_size": (1, None, True, False), "conf_threshold": (0, 1, False, False), "iou_threshold": (0, 1, False, False), "max_detections_per_image": (1, None, True, False)},
+    "predict": {"batch_size": (1, None, True, False), "conf_threshold": (0, 1, False, False), "iou_threshold": (0, 1, False, False), "max_detections_per_image": (1, None, True, False)},
+    "tuning": {"n_trials": (1, None, True, False), "trial_epochs": (1, None, True, False), "timeout_seconds": (1, None, True, False)},
+}
+# What some settings may be.
+CHOICES = {
+    "train": {"augmentation.policy": ("none", "basic", "weather", "provider"), "optimizer.name": ("adamw",), "scheduler.name": ("warmup_cosine",), "loader.decode_backend": ("pil", "opencv"), "early_stopping.mode": ("max",), "label_mode": ("meta", "native")},
+    "eval": {"label_mode": ("meta", "native")}, "predict": {"label_mode": ("meta", "native")}, "tuning": {"direction": ("maximize", "minimize"), "sampler": ("tpe", "random"), "pruner": ("none", "median", "asha")},
 }
 
 
@@ -70,9 +85,13 @@ def check_search_space(params: dict) -> dict:
     for name, s in params.items():
         kind = s.get("type")
         if kind == "categorical":
-            if not s.get("choices"):
+            if not isinstance(s.get("choices"), list) or not s["choices"]:
                 raise PlanError(f"{name}: no choices")
+            if "log" in s:
+                raise PlanError(f"{name}: log is for numbers only")
         elif kind in ("float", "int"):
+            if "choices" in s:
+                raise PlanError(f"{name}: choices are for categories only")
             if s.get("low") is None or s.get("high") is None or s["low"] > s["high"]:
                 raise PlanError(f"{name}: low must not exceed high")
             if s.get("log") and s["low"] <= 0:
@@ -177,6 +196,37 @@ def expand(plan: Plan, models: list[str] | None = None) -> list[dict]:
     return out
 
 
+def _setting(section: dict, key: str):
+    for part in key.split("."):
+        section = section.get(part) if isinstance(section, dict) else None
+    return section
+
+
+def check_settings(e: dict) -> None:
+    """Numbers within their ranges, names among their choices, and a run key that is not blank."""
+    for name, keys in RANGES.items():
+        for key, (lo, hi, whole, open_) in keys.items():
+            v = _setting(e.get(name) or {}, key)
+            if v is None:
+                continue
+            if isinstance(v, bool) or not isinstance(v, (int, float)):
+                raise PlanError(f"{name}.{key} is no number: {v!r}")
+            if v < lo or (open_ and v == lo) or (hi is not None and v > hi) or (whole and v != int(v)):
+                raise PlanError(f"{name}.{key} is out of range: {v}")
+    for name, keys in CHOICES.items():
+        for key, allowed in keys.items():
+            v = _setting(e.get(name) or {}, key)
+            if v is not None and v not in allowed:
+                raise PlanError(f"{name}.{key} is {v!r}, not one of {', '.join(allowed)}")
+    for k in ("beta1", "beta2"):
+        v = _setting(e.get("train") or {}, f"optimizer.{k}")
+        if v is not None and not 0 <= v < 1:
+            raise PlanError(f"train.optimizer.{k} is out of range: {v}")
+    run_key = (e.get("train") or {}).get("run_key")
+    if run_key is not None and not str(run_key).strip():
+        raise PlanError("train.run_key is blank")
+
+
 def checked(e: dict) -> dict:
     """An experiment with its shared settings filled in, or an error saying what is wrong with it."""
     e = copy.deepcopy(e)
@@ -187,6 +237,8 @@ def checked(e: dict) -> dict:
         raise PlanError("an experiment needs a model")
     e["classes"] = class_list(e.get("classes"))
     model = e.get("model") or {}
+    if model and not str(model.get("key", "")).strip():
+        raise PlanError("a model needs a key")
     if model and model.get("backend") not in BACKENDS:
         raise PlanError(f"unknown backend {model.get('backend')!r}")
     for s in SHARED:
@@ -200,10 +252,7 @@ def checked(e: dict) -> dict:
                 check_preprocess(part["preprocess"])
     if e.get("augmentation"):
         e["train"].setdefault("augmentation", e["augmentation"])
-    for (section, key), (lo, hi, whole) in RANGES.items():
-        v = (e.get(section) or {}).get(key)
-        if v is not None and (v < lo or (hi is not None and v > hi) or (whole and v != int(v))):
-            raise PlanError(f"{section}.{key} is out of range: {v}")
+    check_settings(e)
     seeds = (e.get("final") or {}).get("seeds", [0, 1, 2])
     if not seeds or len(set(seeds)) < len(seeds):
         raise PlanError("final seeds must be non-empty and unique")

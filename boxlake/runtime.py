@@ -43,6 +43,8 @@ def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
 
 def cleanup(spark: SparkSession) -> None:
     """Delete all tables this application wrote; results that still read them must have been stored before."""
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        return  # nothing was written
     p = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 

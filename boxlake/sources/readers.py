@@ -194,6 +194,10 @@ def convert(spark: SparkSession, cfg: SourceConfig, output: str, splits: list[st
     """
     plan = cfg.output_splits(splits)
     reader(cfg.source_format)
+    if not force:
+        p = lambda x: spark._jvm.org.apache.hadoop.fs.Path(x)
+        if held := [t for t in plan if p(output).getFileSystem(spark._jsc.hadoopConfiguration()).exists(p(f"{output}/{t}"))]:
+            raise FileExistsError(f"{output} already has {', '.join(held)}; use force to replace them")
     out: dict[str, dict] = {}
     for target, name in plan.items():
         rows, stats = read_split(spark, cfg, name)
