@@ -20,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boxlake.functions.pictures import THUMB, content_hash, decode_graymap, thumbnail, valid_refs
+from boxlake.functions.pictures import THUMB, content_hash, grey_pixels, thumbnail, valid_refs
 from boxlake.runtime import written
 
 #: Passages of a text, signs per passage, its first signs that name the shard, and signs that may be spelled otherwise.
 PASSAGES, SIGNS, HEAD, UNSURE = 9, 20, 6, 6
 #: Signs per letter of a text, and signs of a sketch with the most in which pictures may differ to be compared.
-LETTER, SKETCH, APART = 4, 128, 40
+LETTER, SKETCH, APART = 4, 128, 34
 #: The correlation from which two pictures count as the same.
 SAME = 0.9
 #: Passages and parts of texts that one shard holds on average; sketches compared at once.
@@ -82,7 +82,7 @@ def read_pictures(image_rows: DataFrame) -> DataFrame:
             hashes, thumbs = [], []
             for data in b.column(1).to_pylist():
                 hashes.append(content_hash(data))
-                pixels = decode_graymap(data)
+                pixels = grey_pixels(data)
                 thumbs.append(None if pixels is None else np.rint(thumbnail(pixels) * 65535).astype("<u2").tobytes())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(hashes, pa.binary()), pa.array(thumbs, pa.binary())], ["image_id", "picture_hash", "thumb"])
 
