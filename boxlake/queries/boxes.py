@@ -147,10 +147,10 @@ def predictions(spark, folder):
     return b.select("k", "ln", "pk", "sk", *[_r(F.col(f"c.{n}")).alias(n) for n in "xywh"])
 
 
-@query("proj18_flip", f"with {BRIDGE} select k, ln, pk, sk, iw - x - w as x, w from i join o using (k) where k % 2 = 0")
+@query("proj18_flip", f"with {BRIDGE} select k, ln, pk, sk, case when k % 2 = 0 then iw - x - w else x end as x, w from i join o using (k)")
 def flip(spark, folder):
     """P-18: the box part of a horizontal flip (the coin is fixed here so that SQL can follow it)."""
-    b = bridge(spark, folder).filter("k % 2 = 0").withColumn("f", G.flipped(F.col("b"), F.col("iw")))
+    b = bridge(spark, folder).withColumn("f", F.when(F.col("k") % 2 == 0, G.flipped(F.col("b"), F.col("iw"))).otherwise(F.col("b")))
     return b.select("k", "ln", "pk", "sk", "f.x", "f.w")
 
 

@@ -137,12 +137,14 @@ def retained(spark, folder):
     return kept.select("image_id", F.size("objects").cast("bigint").alias("object_count"), F.size(M.class_counts(F.col("objects"))).cast("bigint").alias("class_count"))
 
 
-@query("proj9_annotation_groups")
+@query("proj9_annotation_groups", f"""with {ROWS_SQL}, k as (select r.image_id, list_filter(list_transform(objects, lambda o: case when ({_STATUS}) = 'retained' and len(o.bbox) = 4 then {{'b': list_transform(o.bbox, lambda v: v::double), 'c': coalesce(o.iscrowd,false), 'm': o.meta_label, 'iw': width, 'ih': height}} end), lambda o: o is not null) os from rows_ r where objects is not null),
+g as (select image_id, list_transform(list_filter(os, lambda o: not (isnan(o.b[1]) or isnan(o.b[2]) or isnan(o.b[3]) or isnan(o.b[4])) and o.b[1] >= 0 and o.b[2] >= 0 and o.b[3] > 0 and o.b[4] > 0 and o.b[1] + o.b[3] <= o.iw + 1e-3 and o.b[2] + o.b[4] <= o.ih + 1e-3), lambda o: {{'b': o.b, 'c': o.c, 'm': o.m}}) os from k)
+select min(image_id) first_image, count(*) n, max(image_id) last_image from g where len(os) > 0 group by os having count(*) > 1""")
 def annotation_groups(spark, folder):
     """P-9: images that share their annotations exactly."""
     kept = M.retained_objects(_rows(spark, folder).select("image_id", "width", "height", "objects"), strict=False)
-    g = kept.filter(F.size("objects") > 0).groupBy(M.annotation_hash(F.col("objects")).alias("annotation_hash")).agg(F.count("*").alias("n"), F.min("image_id").alias("first_image"))
-    return g.filter("n > 1")
+    g = kept.filter(F.size("objects") > 0).groupBy(M.annotation_hash(F.col("objects")).alias("annotation_hash")).agg(F.count("*").alias("n"), F.min("image_id").alias("first_image"), F.max("image_id").alias("last_image"))
+    return g.filter("n > 1").drop("annotation_hash")
 
 
 @query("proj10_content_hash", f"with {ROWS_SQL} select image_id, sha256(image.bytes) content_hash from rows_ where image.bytes is not null")
@@ -157,13 +159,41 @@ def lineage_ids(spark, folder):
     return M.lineage_ids(_linked(spark, folder))
 
 
-@query("proj13_output_rows")
-def output_rows(spark, folder):
-    """P-13: the merged rows, without pixels (their JSON has no SQL equivalent)."""
+_OUTPUT_SQL = f"""with recursive {COMP_SQL}, {_PLAN_SQL}, lin as (select component, sha256(string_agg(dataset||'|'||coalesce(split||'|','')||image_id||'|'||coalesce(h,''), chr(10) order by o.a, o.b, o.c, o.d)) lineage_id, count(*) n_records, string_agg(distinct dataset, ',') ds from comp group by component),
+{ROWS_SQL}, good as (select image_id, count(*) n from (select image_id, o.bbox[1]::double x, o.bbox[2]::double y, o.bbox[3]::double w, o.bbox[4]::double h, width iw, height ih from obj where {_STATUS} = 'retained' and len(o.bbox) = 4) where not (isnan(x) or isnan(y) or isnan(w) or isnan(h)) and x >= 0 and y >= 0 and w > 0 and h > 0 and x + w <= iw + 1e-3 and y + h <= ih + 1e-3 group by 1),
+links as (select image_id, ref_id from comp),
+out_ as (select rr.image_id, rr.dataset, rr.split, p.representative_id, p.donor_id, l.lineage_id, l.n_records, rep.h content_hash, don.annotation_hash donor_hash, don.image_id donor_image, coalesce(g.n, 0) n_objects, rr.meta_json, rep.o o from plan p join refs rep on rep.ref_id = p.representative_id join refs don on don.ref_id = p.donor_id
+  join links dl on dl.ref_id = p.donor_id join rows_ dr on dr.image_id = dl.image_id join links rl on rl.ref_id = p.representative_id join rows_ rr on rr.image_id = rl.image_id join lin l using (component) left join good g on g.image_id = dr.image_id)"""
+
+
+def _merged(spark: SparkSession, folder: str) -> DataFrame:
     linked = _linked(spark, folder)
     rows = _rows(spark, folder).join(linked.select("image_id", "ref_id"), "image_id")
-    out = M.build_output(rows, linked, M.plan_merge(linked, strict=False), strict=False)
-    return out.select("image_id", "dataset", "split", F.size("objects").alias("n_objects"), "meta_json", "lineage_id")
+    return M.build_output(rows, linked, M.plan_merge(linked, strict=False), strict=False)
+
+
+@query("proj13_output_rows", f"{_OUTPUT_SQL} select image_id, dataset, split, n_objects, lineage_id, split original_split, n_records, donor_image, content_hash from out_")
+def output_rows(spark, folder):
+    """P-13: the merged rows, without pixels, and what their metadata tells of their origin."""
+    meta = lambda path: F.get_json_object("meta_json", f"$.{path}")
+    records = F.json_array_length(meta("merge_source_records")).cast("bigint")
+    return _merged(spark, folder).select("image_id", "dataset", "split", F.size("objects").cast("bigint").alias("n_objects"), meta("merge_lineage_id").alias("lineage_id"), meta("merge_original_split").alias("original_split"), records.alias("n_records"), meta("merge_annotation_source.image_id").alias("donor_image"), meta("merge_content_hash").alias("content_hash"))
+
+
+@query("w6_output_order", f"{_OUTPUT_SQL} select image_id, split, row_number() over (partition by split order by o.a, o.b, o.c, o.d) - 1 place from out_")
+def output_order(spark, folder):
+    """W-6: the place of every output row within its split: the stable order of the representatives."""
+    from boxlake.operators.splits import dense_number
+
+    n = dense_number(_merged(spark, folder).select("image_id", "split", F.struct("split", "output_order").alias("o")), "o", "n")
+    first = n.groupBy("split").agg(F.min("n").alias("first"))  # one row per split
+    return n.join(first, "split").select("image_id", "split", (F.col("n") - F.col("first")).alias("place"))
+
+
+@query("a9_order_hashes", f"{_OUTPUT_SQL}, n as (select *, row_number() over (partition by split order by o.a, o.b, o.c, o.d) - 1 n from out_) select split, count(*) n_rows, sum(('0x'||sha256(n||'|'||coalesce(content_hash,'')||'|'||image_id||'|'||lineage_id||'|'||coalesce(donor_hash,''))[1:12])::bigint)::double fingerprint from n group by 1")
+def order_hashes(spark, folder):
+    """A-9, P-12: what each split of the output holds and in which order, as one number."""
+    return M.record_order_hashes(_merged(spark, folder)).select("split", "n_rows", F.col("fingerprint").cast("double").alias("fingerprint"))
 
 
 @query("f11_violations", f"with {ROWS_SQL} select 'no objects' \"check\", image_id \"key\", count(*) n from rows_ where coalesce(len(objects),0) = 0 group by 2 union all select 'illegal object', image_id, count(*) from obj where coalesce(o.ignore,false) or o.meta_label is null or o.meta_label not in {_CLASSES} group by 2")
@@ -191,9 +221,7 @@ def delivered_violations(spark, folder):
 @query("f11_merged_violations")
 def merged_violations(spark, folder):
     """F-11: what the merge's own output violates."""
-    linked = _linked(spark, folder)
-    rows = _rows(spark, folder).join(linked.select("image_id", "ref_id"), "image_id")
-    out = M.build_output(rows, linked, M.plan_merge(linked, strict=False), strict=False)
+    out = _merged(spark, folder)
     objects = F.transform("objects", lambda o: F.struct(o["ignore"].alias("ignore"), o["meta_label"].alias("meta_label")))
     return M.violations(written(out.select("image_id", "split", objects.alias("objects"), "content_hash", "lineage_id"), "merged"))
 
@@ -202,7 +230,19 @@ def merged_violations(spark, folder):
 def manifest(spark, folder):
     """A-9: the manifest as one JSON document."""
     linked = _linked(spark, folder)
-    return spark.createDataFrame([(M.manifest(_rows(spark, folder), linked, M.plan_merge(linked, strict=False)),)], "manifest string")
+    return spark.createDataFrame([(M.manifest(_rows(spark, folder), linked, M.plan_merge(linked, strict=False), written(_merged(spark, folder), "merged")),)], "manifest string")
+
+
+@query("a9_output", f"""{_OUTPUT_SQL}, c as (select unnest(d.class_counts) c from plan p join (select *, row_number() over (partition by ref_id order by scanned_at desc, image_id desc nulls last, content_hash desc nulls last, object_count desc nulls last) rn from row_refs where ref_id is not null) d on d.ref_id = p.donor_id and d.rn = 1)
+select 'splits' part, r.split "key", count(*) n from plan p join refs r on r.ref_id = p.representative_id group by 2 union all select 'representative_datasets', r.dataset, count(*) from plan p join refs r on r.ref_id = p.representative_id group by 2 union all select 'class_counts', c.class_name, sum(c.n)::bigint from c where c.class_name in {_CLASSES} group by 2""")
+def manifest_output(spark, folder):
+    """A-9: what the manifest says of the output: rows per split and source, objects per class (of the donors)."""
+    import json
+
+    linked = _linked(spark, folder)
+    held = json.loads(M.manifest(_rows(spark, folder), linked, M.plan_merge(linked, strict=False)))["output"]
+    rows = [(part, k, n) for part in ("splits", "representative_datasets", "class_counts") for k, n in held[part].items() if n]
+    return spark.createDataFrame(rows, "part string, key string, n bigint")
 
 
 @query("u2_union", f"select dataset, split, count(*) n from (select dataset, {_SPLIT} split from image_rows union all select dataset, {_SPLIT} split from detection_samples) group by 1, 2")

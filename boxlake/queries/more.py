@@ -19,15 +19,15 @@ QUERIES, ORACLES, query = registry()
 
 
 @query("proj12_fingerprints", f"""with r as (select {_SPLIT} split, image_id, coalesce(content_hash,'') h, row_number() over (partition by {_SPLIT} order by image_id, ref_id, scanned_at) - 1 n from (select distinct split, image_id, content_hash, ref_id, scanned_at from row_refs))
-select split, count(*) n_rows, sum(('0x'||sha256(n||'|'||image_id||'|'||h)[1:12])::bigint)::double fingerprint from r where split is not null group by split""")
+select coalesce(split, 'none') split, count(*) n_rows, sum(('0x'||sha256(n||'|'||image_id||'|'||h)[1:12])::bigint)::double fingerprint from r group by 1""")
 def fingerprints(spark, folder):
     """P-12: an order-sensitive fingerprint of each split's rows."""
     r = table(spark, folder, "row_refs").select(split_name(F.col("split")).alias("split"), "image_id", F.coalesce("content_hash", F.lit("")).alias("h"), "ref_id", "scanned_at").distinct()
-    out = None
-    for name in ("train", "val", "test"):
-        own = r.filter(F.col("split") == name).withColumn("o", F.struct("image_id", "ref_id", "scanned_at", "h"))
-        part = M.order_fingerprint(S.dense_number(own, "o", "n"), "n", F.concat_ws("|", "n", "image_id", "h")).withColumn("split", F.lit(name))
-        out = part if out is None else out.unionByName(part)
+    named = r.withColumn("split", F.coalesce("split", F.lit("none")))
+    numbered = S.dense_number(named.withColumn("o", F.struct("split", "image_id", "ref_id", "scanned_at", "h")), "o", "n")
+    first = numbered.groupBy("split").agg(F.min("n").alias("first"))  # one row per split
+    text = F.concat_ws("|", F.col("n") - F.col("first"), "image_id", "h")
+    out = M.order_fingerprint(numbered.join(first, "split"), "n", text, ("split",))
     return out.select("split", "n_rows", F.col("fingerprint").cast("double").alias("fingerprint"))
 
 
@@ -102,11 +102,11 @@ def split_counts(spark, folder):
     return table(spark, folder, "row_refs").groupBy("dataset", split_name(F.col("split")).alias("split")).agg(F.count("*").alias("n"))
 
 
-@query("u4_distinct_ids", "select representative_id, len(list_distinct(list_filter(component_ids, lambda x: x is not null))) n from merged_rows where component_ids is not null")
+@query("u4_distinct_ids", "with m as (select row_number() over () rid, representative_id, merge_run, list_filter(component_ids, lambda x: x is not null) ids from merged_rows where component_ids is not null), f as (select rid, id, min(i) i from (select rid, unnest(ids) id, unnest(generate_series(1, len(ids))) i from m) group by 1, 2) select m.representative_id, m.merge_run, coalesce(string_agg(f.id, ',' order by f.i), '') ids from m left join f using (rid) group by m.rid, 1, 2")
 def distinct_ids(spark, folder):
     """U-4: repeated list entries dropped, the first kept."""
     ids = F.array_distinct(F.filter("component_ids", lambda x: x.isNotNull()))
-    return table(spark, folder, "merged_rows").filter("component_ids is not null").select("representative_id", F.size(ids).cast("bigint").alias("n"))
+    return table(spark, folder, "merged_rows").filter("component_ids is not null").select("representative_id", "merge_run", F.array_join(ids.cast("array<string>"), ",").alias("ids"))
 
 
 @query("a5_class_counts", "with o as (select image_id, unnest(objects) o from (select image_id, arg_max(objects, delivered_at) objects from image_rows group by image_id)) select image_id, o.meta_label class_name, count(*) n from o where coalesce(o.meta_label,'') <> '' group by 1, 2")

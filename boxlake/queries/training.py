@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
@@ -11,6 +11,7 @@ from boxlake.operators import evaluate as E
 from boxlake.operators import runs as R
 from boxlake.operators import splits as S
 from boxlake.operators import targets as T
+from boxlake.queries.boxes import BRIDGE, bridge
 from boxlake.queries.registry import registry
 from boxlake.runtime import table
 from boxlake.schema import FINAL_CLASSES
@@ -18,6 +19,7 @@ from boxlake.schema import FINAL_CLASSES
 QUERIES, ORACLES, query = registry()
 
 CLASSES = list(FINAL_CLASSES)
+_CLASS_LIST = "['" + "','".join(CLASSES) + "']"
 _IN = "('" + "','".join(CLASSES) + "')"
 _OBJ = "obj as (select image_id, dataset, u.i - 1 pos, objects[u.i] o from image_rows, unnest(range(1, len(objects) + 1)) u(i) where objects is not null)"
 _BAD = "o.bbox is null or len(o.bbox) <> 4 or (not isnan(o.bbox[1]) and o.bbox[1] < 0) or (not isnan(o.bbox[2]) and o.bbox[2] < 0) or (not isnan(o.bbox[3]) and o.bbox[3] <= 0) or (not isnan(o.bbox[4]) and o.bbox[4] <= 0)"
@@ -30,19 +32,34 @@ def target_parser(spark, folder):
     return T.filtering_stats(table(spark, folder, "image_rows").select("dataset", "objects"), CLASSES, by=("dataset",))
 
 
-@query("proj20_coco_annotations", f"with {_OBJ}, k as (select image_id, pos, o from obj where {_REASON} = 'kept'), m as (select image_id, pos, o.meta_label c, o.bbox[3]::double * o.bbox[4]::double a, coalesce(o.iscrowd,false)::int cr from k where not isnan(o.bbox[1]) and not isnan(o.bbox[2]) and not isnan(o.bbox[3]) and not isnan(o.bbox[4])) select image_id, c label, count(*) n, round(sum(a),3) area, sum(cr)::bigint crowd from m group by 1, 2")
+_KEPT = f"""src as (select image_id, width, height, list_filter(objects, lambda o: ({_REASON}) = 'kept') os from image_rows where objects is not null),
+kept as (select image_id, width, height, u.i - 1 id, os[u.i] o, os[u.i].bbox[1]::double x, os[u.i].bbox[2]::double y, os[u.i].bbox[3]::double w, os[u.i].bbox[4]::double h, list_position({_CLASS_LIST}, os[u.i].meta_label)::int - 1 c, coalesce(os[u.i].iscrowd,false)::int cr from src, unnest(range(1, len(os) + 1)) u(i))"""
+
+
+def _plain(c: str, places: int = 6) -> str:
+    return f"case when not isnan({c}) then round({c}, {places}) end"
+
+
+def _number(c: Column, places: int = 6) -> Column:
+    """A number to compare: rounded, and null for NaN."""
+    return F.when(~F.isnan(c), F.round(c, places))
+
+
+@query("proj20_coco_annotations", f"with {_KEPT} select image_id, id::int id, c category_id, {_plain('x')} x, {_plain('y')} y, {_plain('w')} w, {_plain('h')} h, {_plain('w*h')} area, cr iscrowd from kept")
 def coco_annotations(spark, folder):
-    """P-20: targets as annotations, summed per image and class."""
-    t = T.parse_targets(table(spark, folder, "image_rows").select("image_id", "objects"), CLASSES).withColumn("a", F.explode(T.coco_annotations(F.col("targets"))))
-    t = t.filter(~F.exists("a.bbox", F.isnan)).withColumn("label", F.element_at(F.array(*[F.lit(c) for c in CLASSES]), F.col("a.category_id") + 1))
-    return t.groupBy("image_id", "label").agg(F.count("*").alias("n"), F.round(F.sum("a.area"), 3).alias("area"), F.sum("a.iscrowd").alias("crowd"))
+    """P-20: every target as an annotation with its id, category, box, area and crowd flag."""
+    t = T.parse_targets(table(spark, folder, "image_rows").select("image_id", "objects"), CLASSES)
+    t = t.select("image_id", F.explode(T.coco_annotations(F.col("targets"))).alias("a"))
+    return t.select("image_id", "a.id", "a.category_id", *[_number(F.col("a.bbox")[i]).alias(c) for i, c in enumerate("xywh")], _number(F.col("a.area")).alias("area"), "a.iscrowd")
 
 
-@query("proj21_head_targets", f"with {_OBJ}, k as (select o from obj where {_REASON} = 'kept') select list_position(['person','bicycle','motorcycle','car','bus','truck'], o.meta_label)::int label, count(*) n from k group by 1")
+@query("proj21_head_targets", f"with {_KEPT}, h as (select 'roi' head, 1 f union all select 'anchor', 0) select image_id, head, (c + f)::int \"label\", {_plain('x')} x1, {_plain('y')} y1, {_plain('x+w')} x2, {_plain('y+h')} y2, {_plain('w*h')} area, cr iscrowd from kept cross join h")
 def head_targets(spark, folder):
-    """P-21: label offsets of detector heads."""
+    """P-21: corners, offset labels, areas and crowd flags for both kinds of detector heads."""
     t = T.parse_targets(table(spark, folder, "image_rows").select("image_id", "objects"), CLASSES)
-    return t.select(F.explode(T.head_targets(F.col("targets"), "roi")).alias("t")).groupBy("t.label").agg(F.count("*").alias("n"))
+    heads = F.array(*[F.struct(F.lit(h).alias("head"), T.head_targets(F.col("targets"), h).alias("t")) for h in T.HEAD_OFFSETS])
+    t = t.select("image_id", F.explode(heads).alias("h")).select("image_id", "h.head", F.explode("h.t").alias("t"))
+    return t.select("image_id", "head", "t.label", *[_number(F.col("t.box")[i]).alias(c) for i, c in enumerate(("x1", "y1", "x2", "y2"))], _number(F.col("t.area")).alias("area"), "t.iscrowd")
 
 
 @query("proj22_batches", """with r as (select row_number() over (order by o_orderkey) - 1 n, o_orderkey from orders) select n // 16 batch, count(*) n_rows, min(o_orderkey) first_key, max(o_orderkey) last_key from r group by 1""")
@@ -52,17 +69,26 @@ def batches(spark, folder):
     return S.batches(n, "n", 16).groupBy("batch").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
 
 
-@query("proj19_transformed", f"""with {_OBJ}, k as (select i.image_id, o, i.width::double iw, i.height::double ih from (select image_id, width, height, objects from image_rows) i, unnest(i.objects) u(o) where i.width > 0 and i.height > 0),
-g as (select image_id, o, iw, ih, least(640/iw,640/ih) f from k where {_REASON} = 'kept' and not isnan(o.bbox[1]) and not isnan(o.bbox[2]) and not isnan(o.bbox[3]) and not isnan(o.bbox[4])),
-s as (select *, round_even(iw*f,0)/iw sx, round_even(ih*f,0)/ih sy, floor((640-round_even(iw*f,0))/2) px, floor((640-round_even(ih*f,0))/2) py from g),
-b as (select image_id, greatest(0,least(o.bbox[1]*sx+px,640)) x1, greatest(0,least(o.bbox[1]*sx+px+o.bbox[3]*sx,640)) x2, greatest(0,least(o.bbox[2]*sy+py,640)) y1, greatest(0,least(o.bbox[2]*sy+py+o.bbox[4]*sy,640)) y2 from s)
-select image_id, count(*) n, round(sum((x2-x1)*(y2-y1)),2) area from b where x2 > x1 and y2 > y1 group by image_id""")
+@query("proj22_boxes", f"""with one as (select image_id, arg_max(struct_pack(objects, width, height), delivered_at) v from image_rows where image_id is not null group by 1), n as (select image_id, row_number() over (order by image_id) - 1 ord, v.objects objects, v.width width, v.height height from one),
+src as (select ord, width, height, list_filter(objects, lambda o: ({_REASON}) = 'kept') os from n where objects is not null and width > 0 and height > 0), k as (select ord, width, height, unnest(os) o from src)
+select ord // 16 batch, (ord % 16)::int batch_idx, list_position({_CLASS_LIST}, o.meta_label)::int - 1 cls, {_plain('(o.bbox[1]::double + o.bbox[3]::double / 2) / width', 9)} cx, {_plain('(o.bbox[2]::double + o.bbox[4]::double / 2) / height', 9)} cy, {_plain('o.bbox[3]::double / width', 9)} w, {_plain('o.bbox[4]::double / height', 9)} h from k""")
+def batched_boxes(spark, folder):
+    """P-22: normalised boxes with their picture's place in a batch of 16, over the latest delivery of every picture."""
+    rows = table(spark, folder, "image_rows").filter("image_id is not null").groupBy("image_id").agg(F.max_by(F.struct("objects", "width", "height"), "delivered_at").alias("v"))
+    n = S.dense_number(rows.select("image_id", "v.*"), "image_id", "ord").filter("width > 0 and height > 0")
+    b = T.batched_boxes(T.parse_targets(n, CLASSES), "ord", 16)
+    return b.select("batch", "batch_idx", "cls", *[_number(F.col(c), 9).alias(c) for c in ("cx", "cy", "w", "h")])
+
+
+@query("proj19_transformed", f"""with {_KEPT}, g as (select *, width::double iw, height::double ih, least(640.0/width,640.0/height) f from kept where width > 0 and height > 0),
+s as (select *, greatest(1,round_even(iw*f,0))/iw sx, greatest(1,round_even(ih*f,0))/ih sy, floor((640-greatest(1,round_even(iw*f,0)))/2) px, floor((640-greatest(1,round_even(ih*f,0)))/2) py from g where not (isnan(x) or isnan(y) or isnan(w) or isnan(h))),
+b as (select image_id, o.meta_label l, greatest(0,least(x*sx+px,640)) x1, greatest(0,least(x*sx+px+w*sx,640)) x2, greatest(0,least(y*sy+py,640)) y1, greatest(0,least(y*sy+py+h*sy,640)) y2 from s)
+select image_id, l "label", round(x1,4) x, round(y1,4) y, round(x2-x1,4) w, round(y2-y1,4) h from b where x2 > x1 and y2 > y1""")
 def transformed(spark, folder):
-    """P-19: targets in the resized picture, re-validated."""
+    """P-19: targets in the resized picture, re-validated; boxes with NaN have no area and are dropped."""
     rows = table(spark, folder, "image_rows").select("image_id", "width", "height", "objects").filter("width > 0 and height > 0")
-    t = T.parse_targets(rows, CLASSES).withColumn("targets", F.filter("targets", lambda t: ~(F.isnan(t["x"]) | F.isnan(t["y"]) | F.isnan(t["w"]) | F.isnan(t["h"]))))
-    t = T.transformed(t, "letterbox", (640, 640)).select("image_id", F.explode("targets").alias("t"))
-    return t.groupBy("image_id").agg(F.count("*").alias("n"), F.round(F.sum(F.col("t.w") * F.col("t.h")), 2).alias("area"))
+    t = T.transformed(T.parse_targets(rows, CLASSES), "letterbox", (640, 640)).select("image_id", F.explode("targets").alias("t"))
+    return t.select("image_id", "t.label", *[F.round(F.col(f"t.{c}"), 4).alias(c) for c in "xywh"])
 
 
 def _truth(spark: SparkSession, folder: str) -> DataFrame:
@@ -125,6 +151,40 @@ def top_predictions(spark, folder):
     return p.select("image_id", F.explode(T.top_predictions(F.col("p"), 0.25, 3)).alias("p")).select("image_id", F.col("p.pos").cast("bigint").alias("pos"), "p.score")
 
 
+_RAW = f"""r as (select k image_id, iw, ih, list({{'ln': ln, 'pk': pk, 'lab': lab, 's': ((pk * 37 + sk) % 100) / 100.0, 'x1': x, 'y1': y, 'x2': x + w, 'y2': y + h}} order by ln, pk, sk) p from i join o using (k) group by 1, 2, 3),
+f as (select image_id, iw, ih, unnest(list_filter(p, lambda q: q.s >= 0.25 and q.lab in ('NO','RF'))) q from r),
+c as (select *, greatest(0, least(q.x1, iw)) a1, greatest(0, least(q.y1, ih)) b1, greatest(0, least(q.x2, iw)) a2, greatest(0, least(q.y2, ih)) b2 from f),
+v as (select image_id, q, a1, b1, a2 - a1 w, b2 - b1 h, row_number() over (partition by image_id order by q.s desc, q.ln, q.pk) rn from c where a2 > a1 and b2 > b1)"""
+
+
+def _model_output(spark: SparkSession, folder: str) -> DataFrame:
+    """Corners, labels and scores per picture, derived from lineitem, as a model would give them."""
+    b = bridge(spark, folder)
+    one = F.struct("ln", "pk", "sk", F.col("lab").alias("label"), (((F.col("pk") * 37 + F.col("sk")) % 100) / 100.0).alias("score"), G.xyxy(F.col("b")).alias("box"))
+    return b.groupBy(F.col("k").alias("image_id"), F.col("iw").cast("int").alias("width"), F.col("ih").cast("int").alias("height")).agg(F.array_sort(F.collect_list(one)).alias("raw"))
+
+
+@query("f9_predictions", f"with {BRIDGE}, {_RAW} select image_id, q.lab \"label\", q.s::double score, a1 x, b1 y, w, h from v where rn <= 2")
+def usable_predictions(spark, folder):
+    """F-9: a model's output without low scores, unknown classes and unusable boxes, the best two per picture."""
+    p = T.usable_predictions(_model_output(spark, folder), "raw", ["NO", "RF"], 0.25, 2)
+    return p.select("image_id", F.explode("predictions").alias("p")).select("image_id", "p.*")
+
+
+@query("a11_counts", f"with {BRIDGE}, {_RAW} select (select count(*) from r) num_images, (select count(*) from o) num_ground_truth, (select count(*) from v where rn <= 2) num_predictions, (select count(*) from c where not (a2 > a1 and b2 > b1)) num_dropped_boxes")
+def evaluation_counts(spark, folder):
+    """A-11: pictures, objects, predictions and dropped boxes of an evaluation."""
+    raw = _model_output(spark, folder)
+    return E.evaluation_counts(raw, bridge(spark, folder), T.usable_predictions(raw, "raw", ["NO", "RF"], 0.25, 2))
+
+
+@query("f10_drawable", f"with {_OBJ}, d as (select dataset, o, coalesce(o.native_label,'') <> '' and len(o.bbox) = 4 and len(list_filter(o.bbox, lambda v: v is null)) = 0 and o.bbox[3] > 0 and o.bbox[4] > 0 ok from obj where o is not null) select dataset, count(*) filter (ok and not coalesce(o.ignore,false)) n_shown, count(*) filter (ok and not coalesce(o.iscrowd,false)) n_with_ignored from d group by dataset")
+def drawable(spark, folder):
+    """F-10: objects that are drawn, without ignored ones, and with them but without crowd regions."""
+    o = table(spark, folder, "image_rows").select("dataset", F.explode("objects").alias("o")).filter("o is not null")
+    return o.groupBy("dataset").agg(F.count_if(T.drawable(F.col("o"))).alias("n_shown"), F.count_if(T.drawable(F.col("o"), "native", True, False)).alias("n_with_ignored"))
+
+
 @query("src12_minute_split", "select case (epoch_us(ts)//60000000)%10 when 0 then 'val' when 1 then 'test' else 'train' end split, count(*) n from events where ts is not null group by 1")
 def minute_split(spark, folder):
     """SRC-12: splits by minute in turn."""
@@ -188,11 +248,11 @@ def last_loss(spark, folder):
 _SEED = "r as (select user_id % 3 seed, event_type metric, user_id % 5 g, round(avg(value),6) v from events where value is not null group by 1, 2, 3)"
 
 
-@query("a13_seed_aggregate", f"with {_SEED}, n as (select g, count(distinct seed) k from r group by g) select g, metric, round(avg(v),6) mean, round(coalesce(stddev_samp(v),0),6) std, count(distinct seed) n from r join n using (g) group by g, metric, k having count(distinct seed) = k")
+@query("a13_seed_aggregate", f"with {_SEED}, n as (select g, count(distinct seed) k from r group by g) select g, metric, round(avg(v),6) mean, round(coalesce(stddev_samp(v),0),6) std, count(distinct seed) n, string_agg(printf('%.4f', v), ',' order by seed) \"values\" from r join n using (g) group by g, metric, k having count(distinct seed) = k")
 def seed_aggregate(spark, folder):
     """A-13, J-12: mean and deviation over seeds of the metrics they share."""
     r = table(spark, folder, "events").filter("value is not null").groupBy((F.col("user_id") % 3).alias("seed"), F.col("event_type").alias("metric"), (F.col("user_id") % 5).alias("g")).agg(F.round(F.avg("value"), 6).alias("v"))
-    return R.seed_aggregate(r, "seed", "metric", "v", ("g",)).select("g", "metric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "n")
+    return R.seed_aggregate(r, "seed", "metric", "v", ("g",)).select("g", "metric", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"), "n", F.array_join(F.transform("values", lambda v: F.format_string("%.4f", v)), ",").alias("values"))
 
 
 @query("a16_rates", "select event_type, count(*) n, round(coalesce(count(*) / nullif((epoch_us(max(ts)) - epoch_us(min(ts)))/1e6, 0), 0), 6) rate from events group by event_type")
