@@ -44,30 +44,31 @@ def match(boxes: np.ndarray, objects: np.ndarray, crowd: np.ndarray) -> tuple[np
         union = np.where(crowd[None, :], area_d[:, None], area_d[:, None] + area_g[None, :] - inter)
         over = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
     matched, ignored = np.zeros((n, _BITS), bool), np.zeros((n, _BITS), bool)
-    counted = np.zeros(len(AREAS), np.int64)
-    # Only objects that overlap enough for the lowest threshold can ever be taken.
-    near = [np.flatnonzero(over[d] >= OVERLAPS[0] - 1e-9) for d in range(n)]
-    for a, (lo, hi) in enumerate(AREAS.values()):
-        off = crowd | (area_g < lo) | (area_g > hi)
-        counted[a] = int((~off).sum())
-        outside = (area_d < lo) | (area_d > hi)
-        first = a * len(OVERLAPS)
-        ignored[:, first : first + len(OVERLAPS)] = outside[:, None]
-        tries = [(d, [(int(g), bool(off[g]), float(over[d, g])) for g in sorted(near[d], key=lambda g: (off[g], g))]) for d in range(n) if len(near[d])]
-        for t, threshold in enumerate(OVERLAPS):
-            used: set[int] = set()
-            for d, candidates in tries:
-                best, found, found_off = min(threshold, 1 - 1e-10), -1, False
-                for g, g_off, v in candidates:
-                    if g in used and not crowd[g]:
-                        continue
-                    if found >= 0 and not found_off and g_off:
-                        break
-                    if v >= best:
-                        best, found, found_off = v, g, g_off
-                if found >= 0:
-                    used.add(found)
-                    matched[d, first + t], ignored[d, first + t] = True, found_off
+    lo, hi = np.array([v[0] for v in AREAS.values()]), np.array([v[1] for v in AREAS.values()])
+    off = crowd[None, :] | (area_g[None, :] < lo[:, None]) | (area_g[None, :] > hi[:, None])
+    counted = (~off).sum(1).astype(np.int64)
+    each = len(OVERLAPS)
+    ignored[:] = np.repeat((area_d[:, None] < lo) | (area_d[:, None] > hi), each, 1)
+    # One row of `free` and `off` per area and threshold: a detection is matched for all of them at once.
+    off = np.repeat(off, each, 0)
+    least = np.tile(np.minimum(OVERLAPS, 1 - 1e-10), len(AREAS))
+    free = np.ones((_BITS, m), bool)
+    rows = np.arange(_BITS)
+    # Only objects that overlap enough for the lowest threshold can ever be taken; the last of equal overlaps wins.
+    for d in np.flatnonzero((over >= OVERLAPS[0] - 1e-9).any(1)) if m else ():
+        near = np.flatnonzero(over[d] >= OVERLAPS[0] - 1e-9)[::-1]
+        may = (over[d, near][None, :] >= least[:, None]) & (free[:, near] | crowd[near][None, :])
+        if len(near) == 1:
+            hit, at, found_off = may[:, 0], np.zeros(_BITS, np.int64), off[:, near[0]]
+        else:
+            counts = may & ~off[:, near]
+            some = counts.any(1)
+            may = np.where(some[:, None], counts, may)
+            hit, found_off = may.any(1), ~some
+            at = np.where(may, over[d, near][None, :], -1.0).argmax(1)
+        free[rows[hit], near[at[hit]]] = False
+        matched[d] = hit
+        ignored[d] = np.where(hit, found_off, ignored[d])
     return matched, ignored, counted
 
 
@@ -118,34 +119,50 @@ def _scoped(df: DataFrame, images: DataFrame) -> DataFrame:
 _KEYS = ["scope", "grp", "label"]
 
 
-def _running(pdf: pd.DataFrame, caps: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """{cap: (rows, true, false)} running counts (rows, 40) of one class's detections in score order."""
-    hit, off = _unmasked(pdf["matched"].to_numpy(np.int64)), _unmasked(pdf["ignored"].to_numpy(np.int64))
-    out = {}
-    for cap in caps:
-        at = pdf["pos"].to_numpy() < cap
-        out[cap] = (np.cumsum(hit[at] & (1 - off[at]), 0), np.cumsum((1 - hit[at]) & (1 - off[at]), 0), at)
-    return out
+#: Detections whose running counts are held at once.
+_CHUNK = 20_000
+
+
+def _groups(pdf: pd.DataFrame) -> Iterator[tuple[tuple[str, str, str], pd.DataFrame]]:
+    """((scope, grp, label), rows): the detections of a partition by class, and of each class by condition and domain."""
+    for name, own in pdf.groupby("label", sort=False):
+        yield ("overall", "", name), own
+        for scope in ("condition", "domain"):
+            for grp, part in own.groupby(scope, sort=False):
+                yield (scope, grp, name), part
+
+
+def _true_false(own: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, 40) true and false detections; ignored ones are neither."""
+    hit, off = _unmasked(own["matched"].to_numpy(np.int64)), _unmasked(own["ignored"].to_numpy(np.int64))
+    return hit & (1 - off), (1 - hit) & (1 - off)
 
 
 def curves(detections: DataFrame, counts: DataFrame, images: DataFrame, most: int) -> DataFrame:
     """(scope, grp, label, area, cap, overlap, n_objects, precision, recall): mean precision over the recall thresholds, and final recall.
 
-    images: (image_id, ord, condition, domain). Classes without counted objects in a scope have no row.
+    images: (image_id, ord, condition, domain). Classes without counted objects in a scope have no row. Every detection
+    is sorted once, by class and score; the scopes are parts of that order.
     """
     caps = sorted({1, 10, most})
     spark = detections.sparkSession
     parts = spark.conf.get("spark.sql.shuffle.partitions")
-    order = [*_KEYS, F.col("score").desc(), "ord", "pos"]
-    d = _scoped(detections, images).repartitionByRange(int(parts), *order).withColumn("part", F.spark_partition_id())
+    order = ["label", F.col("score").desc(), "ord", "pos"]
+    d = detections.join(images.select("image_id", "ord", "condition", "domain"), "image_id")
+    d = d.repartitionByRange(int(parts), *order).withColumn("part", F.spark_partition_id())
     d = written(d, "ordered")
 
     def totals(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for key, own in pdf.groupby(_KEYS, sort=False):
-            for cap, (true, false, _) in _running(own, caps).items():
-                if len(true):
-                    rows.append((*key, int(pdf["part"].iloc[0]), cap, true[-1], false[-1]))
+        rows, part = [], int(pdf["part"].iloc[0])
+        for key, own in _groups(pdf):
+            for cap in caps:
+                kept = own[own["pos"] < cap]
+                if len(kept):
+                    t, f = np.zeros(_BITS, np.int64), np.zeros(_BITS, np.int64)
+                    for i in range(0, len(kept), _CHUNK):
+                        true, false = _true_false(kept.iloc[i : i + _CHUNK])
+                        t, f = t + true.sum(0), f + false.sum(0)
+                    rows.append((*key, part, cap, t, f))
         return pd.DataFrame(rows, columns=[*_KEYS, "part", "cap", "t", "f"])
 
     sums = d.groupBy("part").applyInPandas(totals, "scope string, grp string, label string, part int, cap int, t array<bigint>, f array<bigint>")
@@ -160,26 +177,30 @@ def curves(detections: DataFrame, counts: DataFrame, images: DataFrame, most: in
     def buckets(key, pdf: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
         rows = []
         start = {tuple(r[k] for k in _KEYS): r for r in given.to_dict("records")}
-        pdf = pdf.sort_values(["scope", "grp", "label"], kind="stable")
-        for name, own in pdf.groupby(_KEYS, sort=False):
-            own = own.sort_values(["score", "ord", "pos"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["label", "score", "ord", "pos"], ascending=[True, False, True, True], kind="stable")
+        bits = np.arange(_BITS)
+        for name, own in _groups(pdf):
             r = start.get(name)
             if r is None:
                 continue
             base = {(o["cap"], o["bit"]): (o["t"], o["f"]) for o in r["o"]}
-            for cap, (true, false, _) in _running(own, caps).items():
-                for bit in range(_BITS):
-                    n = int(r["n"][bit // len(OVERLAPS)])
-                    if not n or not len(true):
-                        continue
-                    t0, f0 = base.get((cap, bit), (0, 0))
-                    t, f = true[:, bit] + t0, false[:, bit] + f0
-                    recall, precision = t / n, t / (t + f + np.spacing(1))
-                    slot = np.searchsorted(RECALLS, recall, "right") - 1
-                    best = np.full(len(RECALLS), -1.0)
-                    np.maximum.at(best, slot, precision)
-                    for s in np.flatnonzero(best >= 0):
-                        rows.append((*name, cap, bit, n, int(s), float(best[s]), float(recall.max())))
+            n = np.repeat(np.array([int(v) for v in r["n"]]), len(OVERLAPS))
+            for cap in caps:
+                kept = own[own["pos"] < cap]
+                if not len(kept):
+                    continue
+                t, f = (np.array([base.get((cap, bit), (0, 0))[k] for bit in range(_BITS)], np.int64) for k in (0, 1))
+                best, top = np.full((len(RECALLS), _BITS), -1.0), np.zeros(_BITS)
+                for i in range(0, len(kept), _CHUNK):
+                    true, false = _true_false(kept.iloc[i : i + _CHUNK])
+                    true, false = np.cumsum(true, 0) + t, np.cumsum(false, 0) + f
+                    t, f = true[-1], false[-1]
+                    recall, precision = true / np.maximum(n, 1), true / (true + false + np.spacing(1))
+                    slot = np.searchsorted(RECALLS, recall.ravel(), "right").reshape(recall.shape) - 1
+                    np.maximum.at(best, (slot.ravel(), np.tile(bits, len(slot))), precision.ravel())
+                    top = np.maximum(top, recall.max(0))
+                for s, bit in zip(*np.nonzero((best >= 0) & (n > 0)), strict=True):
+                    rows.append((*name, cap, int(bit), int(n[bit]), int(s), float(best[s, bit]), float(top[bit])))
         return pd.DataFrame(rows, columns=[*_KEYS, "cap", "bit", "n", "slot", "precision", "recall"])
 
     held = d.groupBy("part").cogroup(starts.groupBy("part")).applyInPandas(buckets, "scope string, grp string, label string, cap int, bit int, n bigint, slot int, precision double, recall double")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
 from boxlake.queries.registry import registry
-from boxlake.runtime import table
+from boxlake.runtime import spread, table
 
 QUERIES, ORACLES, query = registry()
 
@@ -69,7 +69,7 @@ def bridge(spark: SparkSession, folder: str) -> DataFrame:
     split = F.when(k % 10 == 0, "val").when(k % 10 == 1, "test").otherwise("train")
     cond = F.when(F.col("o_orderstatus") == "F", "fog").when(F.col("o_orderstatus") == "O", "clear").otherwise("rain")
     images = orders.select(k.alias("k"), (320 + 40 * (k % 9)).alias("iw"), (240 + 30 * (k % 7)).alias("ih"), split.alias("split"), cond.alias("cond"))
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem"))
     b = G.box((F.col("l_partkey") * 7) % 700 - 40, (F.col("l_suppkey") * 13) % 520 - 30, (F.col("l_quantity") - 2) * 6, (F.col("l_quantity") - 1) * 4)
     objects = lines.select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("ln"), F.col("l_partkey").alias("pk"), F.col("l_suppkey").alias("sk"), b.alias("b"), F.concat("l_returnflag", "l_linestatus").alias("lab"))
     return objects.join(images, "k")

@@ -37,12 +37,12 @@ kept as (select image_id, width, height, u.i - 1 id, os[u.i] o, os[u.i].bbox[1]:
 
 
 def _plain(c: str, places: int = 6) -> str:
-    return f"case when not isnan({c}) then round({c}, {places}) end"
+    return f"case when not isnan({c}) then round({c} + 1e-12, {places}) end"
 
 
 def _number(c: Column, places: int = 6) -> Column:
-    """A number to compare: rounded, and null for NaN."""
-    return F.when(~F.isnan(c), F.round(c, places))
+    """A number to compare: rounded beside the half, and null for NaN."""
+    return F.when(~F.isnan(c), F.round(c + 1e-12, places))
 
 
 @query("proj20_coco_annotations", f"with {_KEPT} select image_id, id::int id, c category_id, {_plain('x')} x, {_plain('y')} y, {_plain('w')} w, {_plain('h')} h, {_plain('w*h')} area, cr iscrowd from kept")

@@ -61,3 +61,13 @@ def discard(df: DataFrame | None) -> None:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the project's Parquet tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df on at least as many tasks as the session has cores, for costly work on a small table.
+
+    A file of one row group is one task, however many cores are free; a table that is already read by enough tasks is
+    left as it is, so large ones are never shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
