@@ -72,10 +72,11 @@ def stems(spark, folder):
 @query("j7_case_fallback", "with n as (select distinct source from documents where source is not null), r as (select a.source, b.source other, a.source = b.source exact, row_number() over (partition by a.source order by a.source <> b.source, b.source) rn from n a join n b on lower(a.source) = lower(b.source)) select source, other, exact from r where rn = 1")
 def case_fallback(spark, folder):
     """J-7: names matched in any case, an exact match preferred."""
+    from boxlake.sources.readers import nearest_names
+
     n = table(spark, folder, "documents").filter("source is not null").select("source").distinct()
-    j = n.withColumn("k", F.lower("source")).join(n.select(F.lower("source").alias("k"), F.col("source").alias("other")), "k")
-    best = F.min(F.struct((F.col("source") != F.col("other")).alias("odd"), "other")).alias("b")
-    return j.groupBy("source").agg(best).select("source", F.col("b.other").alias("other"), (~F.col("b.odd")).alias("exact"))
+    found = nearest_names(n, n.select("source", F.col("source").alias("other")), ["other"], "source")
+    return found.select("source", "other", (F.col("source") == F.col("other")).alias("exact"))
 
 
 @query("j13_matrix", "select r_name, s_name from (select r_name from region) a cross join (select distinct n_name s_name from nation) b")

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from boxlake.functions import geometry as G
+from boxlake.functions.clean import split_name
 from boxlake.functions.headers import size_of
 from boxlake.queries.boxes import BRIDGE, bridge
 from boxlake.queries.registry import registry
-from boxlake.runtime import table
+from boxlake.runtime import own_folder, table
+from boxlake.schema import CANONICAL
 from boxlake.sources import formats as X
 from boxlake.sources.config import SourceConfig
 from boxlake.sources.ingest import ingest, judge, statistics
+from boxlake.sources.readers import driving_export, load_canonical, with_fallback_bytes
 
 QUERIES, ORACLES, query = registry()
 
@@ -168,7 +173,58 @@ def path_part(spark, folder):
     return rows.select("image_id", X.path_part(F.col("image_path"), 1).alias("part"), X.path_part(F.col("image_path"), -2).alias("folder"))
 
 
-@query("src15_sizes")
+_GAP = r"(?:\\x0A|\\x0D|\\x09|\\x0B|\\x0C| |#(?:[^\\]|\\x[1-9A-F]|\\x0[^AD])*(?:\\x0A|\\x0D))+"
+_EXPORT = f"""with {BRIDGE}, n as (select k, iw, ih, ((k * 7919) % 100000) * 1000000000 || '_jpg.rf.v3x' || k || '.jpg' filename, ((k * 7919) % 100000) s from i where k % 3 <> 0),
+images as (select row_number() over (order by filename) id, filename, iw, ih, case (s // 60) % 10 when 0 then 'val' when 1 then 'test' else 'train' end split from n)"""
+
+
+def _export(spark, folder):
+    """(csv, sizes) of a driving export derived from orders and lineitem; a third of the pictures are of an old version."""
+    b = bridge(spark, folder)
+    named = lambda k: F.when(k % 3 == 0, F.concat(k.cast("string"), F.lit("_jpg.rf."), F.md5(k.cast("string")), F.lit(".jpg"))).otherwise(F.concat((((k * 7919) % 100000) * 1000000000).cast("string"), F.lit("_jpg.rf.v3x"), k.cast("string"), F.lit(".jpg")))
+    x1, y1, x2, y2 = F.col("b.x"), F.col("b.y"), F.col("b.x") + F.col("b.w"), F.col("b.y") + F.col("b.h")
+    fine = b.filter((x1 >= 0) & (y1 >= 0) & (x2 > x1) & (y2 > y1) & (x2 <= F.col("iw")) & (y2 <= F.col("ih")))
+    csv = fine.select(named(F.col("k")).alias("filename"), F.col("iw").alias("width"), F.col("ih").alias("height"), F.concat(F.lit(" "), "lab").alias("class"), x1.alias("xmin"), y1.alias("ymin"), x2.alias("xmax"), y2.alias("ymax"))
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("k"))
+    return csv, orders.select(named(F.col("k")).alias("filename"), (320 + 40 * (F.col("k") % 9)).cast("int").alias("width"), (240 + 30 * (F.col("k") % 7)).cast("int").alias("height"))
+
+
+@query("src11_images", f"{_EXPORT} select id, filename, iw width, ih height, split from images")
+def export_images(spark, folder):
+    """SRC-11, J-6: the pictures of a driving export with ids by file name, sizes and splits."""
+    return driving_export(*_export(spark, folder))[0].select(F.col("id").cast("bigint").alias("id"), "filename", F.col("width").cast("bigint").alias("width"), F.col("height").cast("bigint").alias("height"), "split")
+
+
+@query("src11_annotations", f"{_EXPORT} select m.id image_id, m.filename, lab category, m.split, round(x,6) x, round(y,6) y, round(w,6) w, round(h,6) h from images m join n using (filename) join o using (k) where x >= 0 and y >= 0 and w > 0 and h > 0 and x + w <= m.iw and y + h <= m.ih")
+def export_annotations(spark, folder):
+    """SRC-11, J-5: the boxes of a driving export's known pictures."""
+    notes = driving_export(*_export(spark, folder))[1]
+    return notes.select(F.col("image_id").cast("bigint").alias("image_id"), "filename", "category", "split", *[F.round(F.col("bbox")[i], 6).alias(c) for i, c in enumerate("xywh")])
+
+
+@query("src16_tables", "select split, count(*) n, count(distinct image_id) n_images, sum(coalesce(len(objects), 0))::bigint n_objects from (select image_id, objects, case when lower(trim(split, chr(32)||chr(9)||chr(10)||chr(13))) in ('train','training') then 'train' when lower(trim(split, chr(32)||chr(9)||chr(10)||chr(13))) in ('val','valid','validation') then 'val' when lower(trim(split, chr(32)||chr(9)||chr(10)||chr(13))) in ('test','testing') then 'test' end split from image_rows) where split is not null group by 1")
+def canonical_tables(spark, folder):
+    """SNK-1, SRC-16, SRC-19: canonical tables written per split and loaded again, with schema and splits checked."""
+    rows = table(spark, folder, "image_rows").withColumn("split", split_name(F.col("split"))).filter("split is not null").select(*CANONICAL.fieldNames())
+    place = f"{own_folder(spark)}/tables-{uuid.uuid4().hex}"
+    for name in ("train", "val", "test"):
+        rows.filter(F.col("split") == name).write.parquet(f"{place}/{name}")
+    held = load_canonical(spark, place)
+    return held.groupBy("split").agg(F.count("*").alias("n"), F.count_distinct("image_id").alias("n_images"), F.sum(F.size(F.coalesce("objects", F.array()))).alias("n_objects"))
+
+
+@query("src17_bytes", "with f as (select image_path p, min(hex(image.bytes)) c from image_rows where image.bytes is not null group by 1) select r.image_id, r.image.bytes is null was_missing, octet_length(coalesce(r.image.bytes, unhex(f.c)))::bigint n_bytes from image_rows r left join f on f.p = coalesce(nullif(r.image.path, ''), r.image_path) where r.image.bytes is not null or f.c is not null")
+def fallback_bytes(spark, folder):
+    """SRC-17: missing picture bytes taken from the file that the row names, where there is one."""
+    rows = table(spark, folder, "image_rows").select("image", "image_id", "image_path")
+    files = rows.filter("image.bytes is not null").groupBy("image_path").agg(F.unhex(F.min(F.hex("image.bytes"))).alias("content"))
+    path = F.coalesce(F.nullif("image.path", F.lit("")), F.col("image_path"))
+    known = rows.filter("image.bytes is not null").unionByName(rows.filter("image.bytes is null").join(files.select(F.col("image_path").alias("__f")), path == F.col("__f"), "left_semi"))
+    got = with_fallback_bytes(known.withColumn("was_missing", F.col("image.bytes").isNull()), files)
+    return got.select("image_id", "was_missing", F.octet_length("image.bytes").cast("bigint").alias("n_bytes"))
+
+
+@query("src15_sizes", f"""with b as (select image.bytes::varchar t from image_rows where image.bytes is not null), s as (select regexp_extract(t, '^P[25]{_GAP}([0-9]+){_GAP}([0-9]+)', ['w', 'h']) m from b) select nullif(m.w, '')::int width, nullif(m.h, '')::int height, count(*) n from s group by 1, 2""")
 def sizes(spark, folder):
     """SRC-15: picture sizes from their headers."""
     rows = table(spark, folder, "image_rows").select(F.col("image.bytes").alias("b")).filter("b is not null")

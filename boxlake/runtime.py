@@ -25,7 +25,8 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
-def _own_folder(spark: SparkSession) -> str:
+def own_folder(spark: SparkSession) -> str:
+    """Where this application's tables lie, below the shared folder."""
     return f"{work_folder(spark)}/boxlake/{spark.sparkContext.applicationId}"
 
 
@@ -34,7 +35,7 @@ def written(df: DataFrame, label: str, by: tuple[str, ...] = ()) -> DataFrame:
 
     This cuts lineage as checkpoint() does, keeps columnar pruning and statistics, and survives lost executors.
     """
-    path = f"{_own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = f"{own_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     (df.write.partitionBy(*by) if by else df.write).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._boxlake_path = path
@@ -45,7 +46,7 @@ def cleanup(spark: SparkSession) -> None:
     """Delete all tables this application wrote; results that still read them must have been stored before."""
     if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         return  # nothing was written
-    p = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    p = spark._jvm.org.apache.hadoop.fs.Path(own_folder(spark))
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 

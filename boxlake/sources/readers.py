@@ -147,6 +147,16 @@ def yolo_noyml(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     return _yolo(spark, cfg, split, cfg.class_names)
 
 
+def nearest_names(left: DataFrame, right: DataFrame, cols: list[str], name: str = "name") -> DataFrame:
+    """left with the right row of the same name, or of the same name in other case (the first by name); others are left out."""
+    r = right.select(F.lower(name).alias("__k"), F.col(name).alias("__found"), *[F.col(c).alias(f"__{c}") for c in cols])
+    j = left.withColumn("__k", F.lower(name)).join(r, "__k").withColumn("__odd", F.col("__found") != F.col(name))
+    best = F.min_by(F.struct(*[F.col(f"__{c}").alias(c) for c in cols]), F.struct("__odd", "__found")).alias("__best")
+    keep = left.columns
+    held = [F.first(c).alias(c) for c in keep if c == "content"]  # pixels are no key
+    return j.groupBy(*[c for c in keep if c != "content"]).agg(best, *held).select(*keep, "__best.*")
+
+
 def exdark(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     """ExDark: pictures of the image list in the split; file names match in any case if not exactly, missing ones are skipped."""
     s = cfg.split(split)
@@ -156,15 +166,7 @@ def exdark(spark: SparkSession, cfg: SourceConfig, split: str) -> DataFrame:
     files = pictures(spark, s.path("images")).select("name", "image_path", "content", "width", "height")
     notes = texts(spark, s.path("annotations")).select(_stem(F.col("name")).alias("name"), "value")
 
-    def nearest(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-        """left with the right row of the same name, or of the same name in other case (the first by name)."""
-        r = right.select(F.lower("name").alias("k"), F.col("name").alias("other"), *cols)
-        j = left.withColumn("k", F.lower("name")).join(r, "k").withColumn("exact", F.col("other") == F.col("name"))
-        best = F.min_by(F.struct(*cols), F.struct((~F.col("exact")).alias("a"), F.col("other").alias("b"))).alias("best")
-        keep = [c for c in left.columns]
-        return j.groupBy(*[c for c in keep if c != "content"]).agg(best, *([F.first("content").alias("content")] if "content" in keep else [])).select(*keep, "best.*")
-
-    df = nearest(nearest(listed, notes, ["value"]), files, ["image_path", "content", "width", "height"])
+    df = nearest_names(nearest_names(listed, notes, ["value"]), files, ["image_path", "content", "width", "height"])
     raw = _present(F.transform(_lines(F.col("value")), lambda x, i: X.exdark_line(x, i + 1)))
     meta = F.to_json(F.struct(F.col("class").alias("image_class"), F.col("place").alias("indoor_outdoor"), "lighting", F.lit("exdark").alias("source_annotation_format"), F.col("name").alias("source_file_name")))
     return df.select(F.col("name").alias("source_id"), "image_path", "width", "height", "content", raw.alias("raw"), meta.alias("meta_json"))

@@ -130,3 +130,61 @@ def test_latest(spark):
     df = spark.createDataFrame([(1, 5, "a"), (1, 7, None), (1, 7, "b"), (None, 9, "c"), (2, None, "d")], "k int, t int, v string")
     assert {tuple(r) for r in latest_by(df, "k", "t").collect()} == {(1, 7, "b"), (2, None, "d")}
     assert latest_by(df.filter(F.lit(False)), "k", "t").count() == 0
+
+
+def test_merge_order_and_manifest(spark, tmp_path):
+    """Rows of one split keep the sources' and the files' order; the manifest lies in the output and tells it; BLAKE2b equals hashlib's."""
+    import hashlib
+
+    from boxlake.__main__ import merge
+
+    root, out = sources(spark, tmp_path), str(tmp_path / "out")
+    o = [([0.0, 0.0, 4.0, 4.0], "auto", None, "car", False, False, '{"k": 1, "merge_annotation_source": 0}')]
+    rows = [((bytearray(png(8, 8, 100 + i)), "p"), f"voc2007:val:{9 - i}", "voc2007", "val", "p", 8, 8, "clear", "road", False, o, '{"z": [1], "a": "x"}') for i in range(5)]
+    spark.createDataFrame(rows, CANONICAL).coalesce(1).write.mode("overwrite").parquet(f"{root}/voc2007/val")
+    made = merge(spark, root, out, False, "blake2b")
+    held = json.loads((tmp_path / "out/_manifest.json").read_text())
+    assert held == made and set(held["output"]["record_order_hashes"]) == {"train", "val", "test"} and held["output"]["splits"]["val"] == 7
+    val = spark.read.parquet(f"{out}/split=val")
+    ids = [r["image_id"] for r in val.coalesce(1).collect()]
+    assert [i for i in ids if i.startswith("voc")] == [f"voc2007:val:{9 - i}" for i in range(5)]
+    r = val.filter("image_id = 'voc2007:val:9'").first()
+    meta = json.loads(r["meta_json"])
+    assert meta["merge_content_hash"] == hashlib.blake2b(png(8, 8, 100), digest_size=32).hexdigest() == r["content_hash"] and meta["z"] == [1] and list(meta) == sorted(meta)
+    name = f"voc2007|val|voc2007:val:9|{r['content_hash']}"
+    assert meta["merge_lineage_id"] == hashlib.blake2b(name.encode(), digest_size=16).hexdigest()
+    own = json.loads(r["objects"][0]["meta_json"])
+    assert own["k"] == 1 and own["merge_annotation_source"]["dataset"] == "voc2007"
+    rows.reverse()
+    spark.createDataFrame(rows, CANONICAL).coalesce(1).write.mode("overwrite").parquet(f"{root}/voc2007/val")
+    other = merge(spark, root, out, True, "blake2b")["output"]["record_order_hashes"]
+    assert other["val"] != held["output"]["record_order_hashes"]["val"] and other["train"] == held["output"]["record_order_hashes"]["train"]
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith(".out")]
+
+
+def test_merge_refuses_rows_of_elsewhere_and_bad_json(spark, tmp_path):
+    from boxlake.__main__ import merge
+
+    root, out = sources(spark, tmp_path), str(tmp_path / "out")
+    o = [([0.0, 0.0, 4.0, 4.0], "auto", None, "car", False, False, "{}")]
+    row = lambda dataset, split, meta: ((bytearray(png(8, 8, 77)), "p"), "x", dataset, split, "p", 8, 8, "clear", "road", False, o, meta)
+    for bad, match in ((row("acdc", "train", "{}"), "row of voc2007/val says acdc/train"), (row("voc2007", "val", "[1]"), "no JSON object in x"), (row("voc2007", "val", '{"a": '), "no JSON object in x")):
+        spark.createDataFrame([bad], CANONICAL).write.mode("overwrite").parquet(f"{root}/voc2007/val")
+        with pytest.raises(Exception, match=match):
+            merge(spark, root, out, False)
+        assert not (tmp_path / "out").exists()
+
+
+def test_records_without_a_hash_stay_apart(spark):
+    rows = [(i, "hazydet", "train", i, f"i{i}", 8, 8, None, "s", 1, [("car", 1)], "a") for i in range(2)]
+    refs = spark.createDataFrame(rows, REF)
+    plan = M.plan_merge(M.lineage(refs), strict=True).collect()
+    assert sorted(r["representative_id"] for r in plan) == [0, 1] and {r["n_same"] for r in plan} == {1}
+
+
+def test_failed_swap_brings_the_old_output_back(spark, tmp_path):
+    df, out = spark.range(3).selectExpr("id", "'train' split"), str(tmp_path / "out")
+    M.publish(df, out)
+    with pytest.raises(ValueError, match="no"):
+        M.publish(df, out, force=True, check=lambda d: (_ for _ in ()).throw(ValueError("no")))
+    assert spark.read.parquet(out).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["out"]
