@@ -9,6 +9,9 @@ level and never joins what is not tied.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from boxlake.runtime import discard, written
 
 #: Rate of the exponential head starts (its inverse is their mean, in hops) and hops that clusters grow per level.
 RATE, HOPS = 0.3, 3
+#: Arcs between super-vertices below which one task joins what is left; a level of jobs would cost more than that.
+FEW = 2_000
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -37,8 +42,29 @@ def _grown(arcs: DataFrame, level: int, rate: float, hops: int) -> DataFrame:
     return out
 
 
-def decomposed_components(edges: DataFrame, rate: float = RATE, hops: int = HOPS) -> DataFrame:
-    """(vertex, component) of every vertex of an undirected edge list (a, b); component is one vertex of it.
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(vertex, center) of all arcs of one task: the last few super-vertices, joined directly."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    for b in batches:
+        for u, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+            u, v = top(u), top(v)
+            above[max(u, v)] = min(u, v)
+    held = list(above)
+    yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64()), pa.array([top(x) for x in held], pa.int64())], ["vertex", "center"])
+
+
+def decomposed_components(edges: DataFrame, rate: float = RATE, hops: int = HOPS, few: int = FEW) -> DataFrame:
+    """(vertex, component) of every vertex of an undirected edge list (a, b) of whole numbers; component is one vertex of it.
+
+    Levels of decomposition run until `few` arcs or fewer are left; those are joined in one task. With few = 0 every
+    level is decomposed.
 
     Edges with a missing end tie nothing; a vertex tied to itself only is a component of its own; repeated edges and
     both orders of an edge count once; an empty list has no vertices.
@@ -47,7 +73,10 @@ def decomposed_components(edges: DataFrame, rate: float = RATE, hops: int = HOPS
     vertices = written(edges.select(F.explode(F.array("a", "b")).alias("vertex")).distinct(), "vertices")
     arcs = written(_both_ways(edges.filter("a <> b")).distinct(), "arcs")
     levels: list[DataFrame] = []
-    while not arcs.isEmpty():
+    while n := arcs.count():
+        if n <= few:
+            levels.append(written(arcs.coalesce(1).mapInArrow(_joined, "vertex bigint, center bigint"), "clusters"))
+            break
         clusters = _grown(arcs, len(levels), rate, hops)
         levels.append(clusters)
         left = arcs.join(clusters.withColumnsRenamed({"vertex": "u", "center": "cu"}), "u").join(clusters.withColumnsRenamed({"vertex": "v", "center": "cv"}), "v")

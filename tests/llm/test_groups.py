@@ -43,7 +43,8 @@ def test_components(spark):
     for seed in range(2):
         edges = graph(seed)
         df, want = spark.createDataFrame(edges, "a bigint, b bigint"), as_sets(union_find(edges).items())
-        assert as_sets(map(tuple, decomposed_components(df).collect())) == want
+        for few in (0, 60, 2_000):
+            assert as_sets(map(tuple, decomposed_components(df, few=few).collect())) == want
         assert dict(map(tuple, hash_to_min(df).collect())) == union_find(edges)
     none = spark.createDataFrame([], "a bigint, b bigint")
     assert decomposed_components(none).count() == 0 and hash_to_min(none).count() == 0
@@ -53,7 +54,7 @@ def test_components(spark):
 @given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 12)), max_size=14))
 def test_any_graph(spark, edges):
     df = spark.createDataFrame(edges, "a bigint, b bigint")
-    assert as_sets(map(tuple, decomposed_components(df, rate=2.0, hops=1).collect())) == as_sets(union_find(edges).items())
+    assert as_sets(map(tuple, decomposed_components(df, rate=2.0, hops=1, few=0).collect())) == as_sets(union_find(edges).items())
 
 
 def test_ties(spark):
