@@ -202,6 +202,9 @@ def near_pairs(classes: DataFrame, least: float = SAME) -> DataFrame:
     shards = max(spark.sparkContext.defaultParallelism, -(-classes.count() * PASSAGES * 2 // SHARD_ROWS))
     evals_cut, trains_cut = _cut((classes.filter("in_eval"), UNSURE), (classes.filter("in_train"), 0), shards)
     by = ("shard", "e", "t")
+    # As many tasks as shards, so what a task reads does not grow with the input.
+    tasks = max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    evals_cut, trains_cut = evals_cut.repartition(tasks, *by), trains_cut.repartition(tasks, *by)
     hits = evals_cut.groupBy(*by).cogroup(trains_cut.groupBy(*by)).applyInArrow(_scan, "eval_id bigint, train_id bigint, block int")
     # Passages do not overlap, so merged intervals are the set of blocks.
     candidates = hits.groupBy("eval_id", "train_id").agg(F.bit_count(F.expr("bit_or(1 << block)")).alias("n"))

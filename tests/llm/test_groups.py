@@ -43,7 +43,7 @@ def test_components(spark):
     for seed in range(2):
         edges = graph(seed)
         df, want = spark.createDataFrame(edges, "a bigint, b bigint"), as_sets(union_find(edges).items())
-        for few in (0, 60, 2_000):
+        for few in (0, 60) if seed else (2_000,):
             assert as_sets(map(tuple, decomposed_components(df, few=few).collect())) == want
         assert dict(map(tuple, hash_to_min(df).collect())) == union_find(edges)
     none = spark.createDataFrame([], "a bigint, b bigint")
