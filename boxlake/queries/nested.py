@@ -43,7 +43,7 @@ def found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def linked(spark: SparkSession, folder: str) -> DataFrame:
-    """Every node with its parent link, table name and own scalar fields."""
+    """Every node with its parent link, table name and own fields."""
     out = with_links(_nodes(spark, folder, True)).withColumn("ordinals", F.concat_ws(".", F.col("ordinals").cast("array<string>")))
     return out.distinct()
 
@@ -70,7 +70,7 @@ def columns(spark: SparkSession, folder: str) -> DataFrame:
     out = None
     for path, rows in flat_tables(with_links(_nodes(spark, folder, True))).items():
         own = [c for c in rows.columns if c not in ("image_id", "list_name", "pos", "child_path", "parent_path", "schema_path", "parent_schema_path", "ordinals")]
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(rows.schema[c].dataType.simpleString()).alias("type"), F.count(F.col(f"`{c}`")).alias("n_filled")) for c in own]) if own else F.expr("cast(array() as array<struct<column:string,type:string,n_filled:bigint>>)")
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(rows.schema[c].dataType.simpleString()).alias("type"), F.count(F.col("`" + c.replace("`", "``") + "`")).alias("n_filled")) for c in own]) if own else F.expr("cast(array() as array<struct<column:string,type:string,n_filled:bigint>>)")
         part = rows.agg(cells.alias("c"), F.count("*").alias("n_rows")).select(F.lit(path).alias("schema_path"), "n_rows", F.explode("c").alias("c")).select("schema_path", "c.column", "c.type", "n_rows", "c.n_filled")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], "schema_path string, column string, type string, n_rows bigint, n_filled bigint")
